@@ -125,7 +125,7 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """
     known = df.filter(F.col(value).isNotNull())
     counted = known.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    band = F.when(F.col(value) > 0, F.floor(F.log(F.col(value)) * 64)).otherwise(F.lit(-(2**31)))
+    band = F.when(F.col(value) > 0, F.floor(F.log(F.col(value)) * 1024)).otherwise(F.lit(-(2**31)))
     counted = counted.withColumn("band", band)
 
     by_band = W.partitionBy(group).orderBy("band").rowsBetween(W.unboundedPreceding, -1)
@@ -142,11 +142,12 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
         .withColumn("low", F.expr("(total - 1) div 2"))
         .withColumn("high", F.expr("total div 2"))
         .filter("high >= before and low < before + in_band")
-        .select(F.col(group).alias("g"), F.col("band").alias("b"), "before", "low", "high")
+        .select(F.col(group).alias("band_group"), F.col("band").alias("band_no"), "before", "low", "high")
     )
+    in_middle = F.col(group).eqNullSafe(F.col("band_group")) & (F.col("band") == F.col("band_no"))
     inside = W.partitionBy(group, "band").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     ranked = (
-        counted.join(bands, F.col(group).eqNullSafe(F.col("g")) & (F.col("band") == F.col("b")))
+        counted.join(bands, in_middle)
         .withColumn(
             "first_rank", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
         )

@@ -55,27 +55,3 @@ def not_null_filter(df: DataFrame, *columns: str) -> DataFrame:
     for name in columns:
         df = df.filter(F.col(name).isNotNull())
     return df
-
-
-def stg_mutations(raw: DataFrame) -> DataFrame:
-    return price_positive(stage("mutations", raw))
-
-
-def stg_dispositions(raw: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    return stage("dispositions", raw, columns)
-
-
-def stg_locals(raw: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    return stage("locals", raw, columns)
-
-
-def stg_parcelles(raw: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    return stage("parcelles", raw, columns)
-
-
-def stg_geo_departments(raw: DataFrame) -> DataFrame:
-    return not_null_filter(stage("geo_departments", raw), "department_code")
-
-
-def stg_geo_communes(raw: DataFrame) -> DataFrame:
-    return not_null_filter(stage("geo_communes", raw), "commune_code")

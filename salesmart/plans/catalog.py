@@ -837,7 +837,7 @@ def dq_department_coverage(spark: SparkSession, folder: str) -> DataFrame:
     s = star(spark, folder)
     return quality.dq_coverage(
         s.stg_mutations(("department_code",)), "department_code",
-        s.stg_geo_departments(), "department_code",
+        s.stg_geo_departments(("department_code",)), "department_code",
     )
 
 
@@ -845,7 +845,8 @@ def dq_department_coverage(spark: SparkSession, folder: str) -> DataFrame:
 def dq_commune_coverage(spark: SparkSession, folder: str) -> DataFrame:
     s = star(spark, folder)
     return quality.dq_coverage(
-        s.stg_parcelles(("commune_code",)), "commune_code", s.stg_geo_communes(), "commune_code"
+        s.stg_parcelles(("commune_code",)), "commune_code",
+        s.stg_geo_communes(("commune_code",)), "commune_code",
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,15 @@ CHILD_COLUMNS = {
         "agricultural_land_area_sqm", "natural_land_area_sqm",
     ),
 }
-MODELS = (
-    "stg_mutations", "stg_dispositions", "stg_locals", "stg_parcelles", "stg_geo_departments",
-    "stg_geo_communes", "int_transactions_enriched", "fct_transactions", "dim_communes",
-    "dim_property_types", "dim_dates", "dim_geography",
+# Models by layer; those of one layer do not read each other.
+LAYERS = (
+    ("stg_mutations", "stg_dispositions", "stg_locals", "stg_parcelles", "stg_geo_departments",
+     "stg_geo_communes"),
+    ("int_transactions_enriched",),
+    ("fct_transactions", "dim_communes", "dim_property_types", "dim_dates", "dim_geography"),
 )
+MODELS = tuple(name for layer in LAYERS for name in layer)
+PARALLEL_WRITES = 4
 
 
 class RawSource(Protocol):
@@ -84,11 +89,11 @@ class StarSchema:
     def stg_parcelles(self, columns: Iterable[str] | None = None) -> DataFrame:
         return self.staged("parcelles", columns)
 
-    def stg_geo_departments(self) -> DataFrame:
-        return staging.not_null_filter(self.staged("geo_departments"), "department_code")
+    def stg_geo_departments(self, columns: Iterable[str] | None = None) -> DataFrame:
+        return staging.not_null_filter(self.staged("geo_departments", columns), "department_code")
 
-    def stg_geo_communes(self) -> DataFrame:
-        return staging.not_null_filter(self.staged("geo_communes"), "commune_code")
+    def stg_geo_communes(self, columns: Iterable[str] | None = None) -> DataFrame:
+        return staging.not_null_filter(self.staged("geo_communes", columns), "commune_code")
 
     def int_transactions_enriched(self) -> DataFrame:
         return enrich.enriched(
@@ -100,14 +105,15 @@ class StarSchema:
 
     def fct_transactions(self) -> DataFrame:
         return marts.fct_transactions(
-            self.int_transactions_enriched(), self.stg_geo_departments()
+            self.int_transactions_enriched(),
+            self.stg_geo_departments(("department_code", "department_name")),
         )
 
     def dim_communes(self) -> DataFrame:
         return marts.dim_communes(
             self.stg_parcelles(("commune_code", "department_code")),
             self.stg_mutations(("insee_code", "department_code")),
-            self.stg_geo_communes(),
+            self.stg_geo_communes(("commune_code", "commune_name")),
         )
 
     def dim_property_types(self) -> DataFrame:
@@ -124,20 +130,19 @@ class StarSchema:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
-    def publish(self, root: str, models: Iterable[str] = MODELS) -> dict[str, DataFrame]:
+    def publish(self, root: str, models: tuple[str, ...] = MODELS) -> dict[str, DataFrame]:
         """Write the models below ``root`` and hand back the written tables.
 
         Each model reads what was written before it, so a staging table is typed once and the
         enriched sale is joined once, however many models and checks use them.
         """
         written = WrittenModels(self.spark, root, self)
-        for name in models:
-            df = written.model(name)
-            if name == "fct_transactions":
-                sinks.write_partitioned_clustered(df, written.path(name))
-            else:
-                sinks.write_truncate(df, written.path(name))
-            written.done.add(name)
+        for layer in LAYERS:
+            wanted = [name for name in layer if name in models]
+            with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+                # the writes of a layer share the cluster; list() waits and raises what failed
+                list(pool.map(written.write, wanted))
+            written.done.update(wanted)
         return {name: written.read(name) for name in written.done}
 
 
@@ -155,6 +160,11 @@ class WrittenModels(StarSchema):
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def write(self, name: str) -> int:
+        if name == "fct_transactions":
+            return sinks.write_partitioned_clustered(self.model(name), self.path(name))
+        return sinks.write_truncate(self.model(name), self.path(name))
+
     def _stored(self, name: str, columns: Iterable[str] | None, build):
         if name not in self.done:
             return build(columns)
@@ -173,13 +183,11 @@ class WrittenModels(StarSchema):
     def stg_parcelles(self, columns=None):
         return self._stored("stg_parcelles", columns, super().stg_parcelles)
 
-    def stg_geo_departments(self):
-        name = "stg_geo_departments"
-        return self.read(name) if name in self.done else super().stg_geo_departments()
+    def stg_geo_departments(self, columns=None):
+        return self._stored("stg_geo_departments", columns, super().stg_geo_departments)
 
-    def stg_geo_communes(self):
-        name = "stg_geo_communes"
-        return self.read(name) if name in self.done else super().stg_geo_communes()
+    def stg_geo_communes(self, columns=None):
+        return self._stored("stg_geo_communes", columns, super().stg_geo_communes)
 
     def int_transactions_enriched(self):
         name = "int_transactions_enriched"

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # call-site capture for error messages costs more than building the plans themselves
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

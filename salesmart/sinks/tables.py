@@ -14,6 +14,8 @@ BATCH = "batch_id"
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows seen by the write itself. The writing stage counts each partition once, also when a
+    lost executor makes it run again; a stage ahead of a shuffle would not."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -51,16 +53,16 @@ def write_partitioned_clustered(
     and merge undersized tasks, so a year or department that holds a third of the rows is written
     by many tasks while small ones do not scatter into tiny files.
     """
-    bucketed = df.withColumn(YEAR_BUCKET, year_bucket(F.col(year), years))
-    counted, seen = _counted(bucketed)
     (
-        counted.hint("rebalance", YEAR_BUCKET, cluster[0])
+        df.withColumn(YEAR_BUCKET, year_bucket(F.col(year), years))
+        .hint("rebalance", YEAR_BUCKET, cluster[0])
         .sortWithinPartitions(YEAR_BUCKET, *cluster)
         .write.mode("overwrite")
         .partitionBy(YEAR_BUCKET)
         .parquet(path)
     )
-    return seen.get["rows"]
+    # counted from the footers of the files just written
+    return df.sparkSession.read.parquet(path).count()
 
 
 def in_years(df: DataFrame, first: int, last: int, year: str = "transaction_year") -> DataFrame:
@@ -129,10 +131,9 @@ def load_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("table_name"), "row_count"
         )
         counts = one if counts is None else counts.unionByName(one)
-    total = counts.agg(F.sum("row_count").alias("row_count")).select(
-        F.lit("(total)").alias("table_name"), "row_count"
+    return counts.rollup("table_name").agg(F.sum("row_count").alias("row_count")).select(
+        F.coalesce("table_name", F.lit("(total)")).alias("table_name"), "row_count"
     )
-    return counts.unionByName(total)
 
 
 def list_partitions(df: DataFrame, column: str = YEAR_BUCKET) -> DataFrame:

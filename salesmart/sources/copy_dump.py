@@ -214,11 +214,14 @@ def scan_copy_dump(spark: SparkSession, paths: str | list[str], table: str) -> D
 
 def write_copy_dump(df: DataFrame, schema: str, table: str, path: str) -> None:
     """Write a table as dump text; every part file is a complete block."""
+    special = "[" + "".join(f"\\x{ord(c):02x}" for c in ("\\", *ESCAPES.values())) + "]"
+
     def escaped(name: str) -> Column:
-        text = F.replace(F.col(name).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        text = F.col(name).cast("string")
+        marked = F.replace(text, F.lit("\\"), F.lit("\\\\"))
         for mark, char in ESCAPES.items():
-            text = F.replace(text, F.lit(char), F.lit(mark))
-        return F.coalesce(text, F.lit(NULL_FIELD))
+            marked = F.replace(marked, F.lit(char), F.lit(mark))
+        return F.coalesce(F.when(text.rlike(special), marked).otherwise(text), F.lit(NULL_FIELD))
 
     header = f"COPY {schema}.{table} ({', '.join(df.columns)}) FROM stdin;"
 

@@ -12,12 +12,14 @@ from salesmart.sources.contracts import MULTILINE_TABLES, YEAR_COLUMN, text_sche
 
 LINEAGE = "source_file"
 
+# An unquoted empty field is NULL, a quoted one an empty text. Spark only keeps them apart when
+# its NULL marker is not the empty text itself; this one cannot be typed. Quotes are doubled.
+CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\u0001"}
+
 
 def _reader(spark: SparkSession, multiline: bool):
-    # An unquoted empty field is NULL, a quoted one is an empty string; quotes are doubled.
     return (
-        spark.read.option("header", True)
-        .option("escape", '"')
+        spark.read.options(**CSV_OPTIONS)
         .option("multiLine", multiline)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")

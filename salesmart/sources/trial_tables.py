@@ -351,9 +351,13 @@ class TrialTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def trial(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        if name not in self._read:
+            path = os.path.join(self.folder, f"{name}.parquet")
+            self._read[name] = self.spark.read.parquet(path)
+        return self._read[name]
 
     def table(self, name: str, columns: Iterable[str] | None = None) -> DataFrame:
         """Raw table ``name`` with all or some of its columns."""

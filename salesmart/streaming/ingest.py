@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.sources.copy_dump import CopyDump
-from salesmart.sources.csv_files import scan_csv_table
+from salesmart.sources.csv_files import CSV_OPTIONS, scan_csv_table
 from salesmart.streaming.manifest import append_manifest, read_manifest, resume_anti_join
 
 SOURCE = "source_file"
@@ -182,8 +182,7 @@ def stream_ingest(
     """
     source = (
         spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", True)
