@@ -96,3 +96,56 @@ def test_stored_sources(spark, sf, tmp_path):
 def test_lookups_are_broadcast_by_size_only(spark, sf, no_broadcast):
     # above the threshold every lookup still has a plan: no hint forces a broadcast
     assert "Broadcast" not in plan(catalog.star(spark, sf).fct_transactions())
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_of_a_large_lookup_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from salesmart.operators import lookups
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        # two thirds of the rows share one key
+        rows = spark.range(0, 60000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).cast("string").alias("code"))
+        labels = spark.range(60000).select(F.col("id").cast("string").alias("code"), F.lit("x").alias("lib"))
+        joined = lookups.label_lookup(rows, labels, "code", "lib", "label")
+        text = _final_plan(joined)
+        assert "SortMergeJoin(skew=true)" in text
+        assert joined.count() == 60000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_year_and_department_is_written_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40KB")
+    try:
+        sales = spark.range(0, 80000, 1, 8).select(
+            F.col("id").alias("mutation_id"), F.when(F.col("id") % 3 < 2, 2023).otherwise(2014 + F.col("id") % 12)
+            .cast("long").alias("transaction_year"), F.lit("75").alias("department_code"),
+            F.lit("111").alias("property_type_code"), F.rand(1).alias("v"))
+        path = str(tmp_path / "hot")
+        assert sinks.write_partitioned_clustered(sales, path) == 80000
+        files = spark.read.parquet(path).inputFiles()
+        assert sum("year_bucket=2023" in f for f in files) > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
