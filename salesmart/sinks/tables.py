@@ -74,7 +74,11 @@ def in_years(df: DataFrame, first: int, last: int, year: str = "transaction_year
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Table hashed and sorted by ``key``: joins and groupings on the key need no shuffle."""
+    """Table hashed and sorted by ``key``: joins and groupings on the key need no shuffle.
+
+    One task writes and later reads a bucket, so this is for tables with few rows per key, such as
+    sales and aggregated children; a key with a large share of all rows would make one big bucket.
+    """
     (
         df.repartition(buckets, key)
         .write.mode("overwrite")

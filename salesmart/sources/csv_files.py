@@ -5,6 +5,8 @@ Types are never inferred: a code such as ``004`` or ``2A`` stays what it is.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +70,9 @@ def csv_files(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    inside = F.substring_index("path", f"{root.rstrip('/').split('/')[-1]}/", -1)
+    # the part behind the root, whatever scheme the listing puts in front of it
+    place = re.sub(r"^\w+:(//[^/]*)?", "", root.rstrip("/"))
+    inside = F.get(F.split("path", re.escape(place) + "/", 2), F.lit(1))
     entry = F.substring_index(inside, "/", 1)
     return listing.select(
         F.regexp_replace(entry, r"\.csv$", "").alias("table_name"),

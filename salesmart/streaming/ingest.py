@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +22,9 @@ SOURCE = "source_file"
 DEFAULT_GROUP = 10
 
 
-def classify(name: str) -> str:
-    """Role of a dump file by its name: schema set-up, shared reference data, or sales."""
-    lower = name.rsplit("/", 1)[-1].lower()
-    if "init" in lower:
-        return "init"
-    return "reference" if "annexe" in lower else "data"
-
-
 def discover(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Files below a folder, also in delivery subfolders, with their role."""
+    """Files below a folder, also in delivery subfolders, with the role their name gives them:
+    schema set-up, shared reference data, or sales."""
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -65,10 +59,6 @@ def batch_name(files: Sequence[str]) -> str:
     return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:16]
 
 
-def _groups(files: list[str], size: int) -> list[list[str]]:
-    return [files[i : i + size] for i in range(0, len(files), size)]
-
-
 Reader = Callable[[SparkSession, Sequence[str]], dict[str, DataFrame]]
 
 
@@ -144,7 +134,7 @@ def chunk_cycle(
     rows = [(r.role, r[SOURCE]) for r in waiting.select("role", SOURCE).toLocalIterator()]
     reference = sorted(path for role, path in rows if role == "reference")
     data = sorted(path for role, path in rows if role == "data")
-    batches = ([reference] if reference else []) + _groups(data, group)
+    batches = ([reference] if reference else []) + [list(b) for b in batched(data, group)]
     done = 0
     for files in batches[:stop_after]:
         ingest_files(spark, files, target, manifest, read)

@@ -92,7 +92,7 @@ def test_stream_of_the_event_table(spark, sf, tmp_path):
 
 
 def test_dump_delivery_with_reference_files(spark, tmp_path):
-    folder = tmp_path / "in" / "1_DONNEES_LIVRAISON"
+    folder = tmp_path / "in" / "delivery"
     folder.mkdir(parents=True)
     (folder / "dvf_plus_init.sql").write_text("CREATE TABLE x ();\n")
     (folder / "dvf_plus_annexe.sql").write_text("COPY dvf_plus_annexe.ann_type_local (codtyploc, libtyploc) FROM stdin;\n1\tMaison\n2\tAppartement\n\\.\n")
@@ -109,10 +109,12 @@ def test_dump_delivery_with_reference_files(spark, tmp_path):
     assert got == [(str(i), ["a", "b"]) for i in range(3)]
 
 
-def test_roles():
-    assert ingest.classify("a/dvf_plus_init.sql") == "init"
-    assert ingest.classify("dvf_plus_annexe.sql") == "reference"
-    assert ingest.classify("dvf_plus_d2A.sql") == "data"
+def test_roles(spark, tmp_path):
+    for name in ("dvf_plus_init.sql", "dvf_plus_annexe.sql", "dvf_plus_d2A.sql"):
+        (tmp_path / name).write_text("x")
+    found = ingest.discover(spark, str(tmp_path), "*.sql").collect()
+    assert {r.source_file.rsplit("_", 1)[-1]: r.role for r in found} == {
+        "init.sql": "init", "annexe.sql": "reference", "d2A.sql": "data"}
 
 
 def test_broken_or_missing_manifest_is_a_fresh_start(spark, tmp_path):

@@ -26,13 +26,14 @@ def test_csv_quoted_line_breaks_and_quotes(spark, tmp_path):
 
 
 def test_csv_layouts_and_small_files(spark, tmp_path):
-    root = tmp_path / "dvf"
+    root = tmp_path / "with space" / "csv"
     (root / "mutation").mkdir(parents=True)
     (root / "mutation" / "chunk_001.csv").write_text("idmutation,anneemut\n1,2020\n")
     (root / "mutation" / "chunk_002.csv").write_text("idmutation,anneemut\n2,2021\n3,2021\n")
     (root / "ann_type_local.csv").write_text("codtyploc,libtyploc\n1,Maison\n2,Appartement\n")
     names = {(r.table_name, r.entry) for r in csv_files(spark, str(root)).collect()}
     assert names == {("mutation", "mutation"), ("ann_type_local", "ann_type_local.csv")}
+    assert csv_files(spark, f"file://{root}/").count() == 3
     found = scan_csv_chunks(spark, str(root))
     assert found["mutation"].count() == 3 and found["ann_type_local"].count() == 2
 
