@@ -71,7 +71,7 @@ def build_from_dump(
     pattern: str = "*.sql",
 ) -> dict[str, DataFrame]:
     """Dump files and boundary files -> raw layer -> star schema."""
-    dump = CopyDump(spark, dumps, pattern)
+    dump = CopyDump(spark, dumps, pattern).stage()
     found = {name: dump.table(name) for name in dump.tables()}
     return _build(spark, exported(found, departments), boundaries, root)
 

@@ -77,6 +77,7 @@ class CopyDump:
         self._marks().write.parquet(folder)
         self._splits = spark.read.parquet(folder)
         self._headers = self._distinct_headers()
+        self._stored: str | None = None
 
     def _lines(self) -> DataFrame:
         text = (
@@ -142,8 +143,22 @@ class CopyDump:
             ids = F.when(mark == header, F.lit(number)).otherwise(ids)
         return ids
 
+    def stage(self) -> CopyDump:
+        """Write all labelled lines once, by block header; tables are then read from there.
+
+        Worth it for more than one table: the text is labelled once instead of once per table.
+        """
+        folder = new_folder(self.spark, "dump-lines")
+        every = set(range(1, len(self._headers) + 1))
+        self._labelled(every).write.partitionBy("header").parquet(folder)
+        self._stored = folder
+        return self
+
     def _labelled(self, wanted: set[int]) -> DataFrame:
         """Lines of the wanted blocks with their header id."""
+        if self._stored:
+            stored = self.spark.read.schema("file string, value string, header int")
+            return stored.parquet(self._stored).filter(F.col("header").isin(*wanted))
         numbered = self._lines().withColumn(
             "mark", F.when(F.col("mark").isNotNull(), self._header_id(F.col("mark")))
         )

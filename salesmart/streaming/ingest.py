@@ -72,7 +72,7 @@ def csv_reader(table: str) -> Reader:
 
 def dump_reader(spark: SparkSession, files: Sequence[str]) -> dict[str, DataFrame]:
     """Batches of dump files: every table found in them."""
-    dump = CopyDump(spark, list(files))
+    dump = CopyDump(spark, list(files)).stage()
     return {name: dump.table(name, lineage=True) for name in dump.tables()}
 
 

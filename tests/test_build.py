@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from salesmart.functions.projection import point_ewkb
 from salesmart.operators.quality import QualityError
 from salesmart.plans import catalog
-from salesmart.plans.build import build_from_csv, build_from_dump
+from salesmart.plans.build import build_from_csv, build_from_dump, exported
 from salesmart.sinks import tables as sinks
 from salesmart.sources.contracts import PRINCIPAL_TABLES, REFERENCE_TABLES
-from salesmart.sources.copy_dump import write_copy_dump
+from salesmart.sources.copy_dump import CopyDump, write_copy_dump
 
 
 @pytest.fixture(scope="module")
@@ -71,8 +71,11 @@ def test_dump_delivery(spark, sf, boundaries, tmp_path):
     statuses = {r.status for r in models["dq_report"].select("status").distinct().collect()}
     assert statuses == {"pass", "warn"}
 
-    one = build_from_dump(spark, str(tmp_path / "dump"), boundaries, str(tmp_path / "one"), ["13"], "*.txt")
-    assert one["fct_transactions"].count() == fact.filter("department_code = '13'").count() > 0
+    dump = CopyDump(spark, str(tmp_path / "dump"), "*.txt").stage()
+    some = exported({t: dump.table(t) for t in ("mutation", "local", "ann_cgi")}, ["13"])
+    for table in ("mutation", "local"):
+        assert some[table].count() == tables[table].filter("coddep = '13'").count() > 0
+    assert some["ann_cgi"].count() == tables["ann_cgi"].count()
 
 
 def test_incomplete_delivery_stops(spark, sf, boundaries, tmp_path):
