@@ -81,9 +81,8 @@ def _plus(a: Column, b: Column, *names: str) -> Column:
     return F.struct(*[(a[n] + b[n]).alias(n) for n in names])
 
 
-def polygon_centroid(text: Column) -> Column:
-    """struct<lon, lat> of a valid boundary; holes weigh negatively; NULL for bad or flat shapes."""
-    polygons = geojson_polygons(text)
+def polygons_centroid(polygons: Column) -> Column:
+    """struct<lon, lat> of valid polygons; holes weigh negatively; NULL for flat shapes."""
     rings = F.flatten(
         F.transform(
             polygons,
@@ -96,8 +95,13 @@ def polygon_centroid(text: Column) -> Column:
         )
     )
     total = F.aggregate(rings, _zero("c", "x", "y"), lambda s, r: _plus(s, r, "c", "x", "y"))
-    centre = F.struct(
+    return F.struct(
         F.try_divide(total["x"], total["c"]).alias("lon"),
         F.try_divide(total["y"], total["c"]).alias("lat"),
     )
-    return F.when(valid_polygons(polygons), centre)
+
+
+def polygon_centroid(text: Column) -> Column:
+    """struct<lon, lat> of a boundary text; NULL for a bad shape."""
+    polygons = geojson_polygons(text)
+    return F.when(valid_polygons(polygons), polygons_centroid(polygons))

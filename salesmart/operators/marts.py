@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import scalars
-from salesmart.functions.geo import polygon_centroid
+from salesmart.functions.geo import geojson_polygons, polygons_centroid
 from salesmart.sources.contracts import CALENDAR_RANGE, FACT_COLUMNS
 
 
@@ -114,7 +114,10 @@ def _days(bounds: DataFrame) -> DataFrame:
 
 
 def dim_geography(departments: DataFrame, communes: DataFrame) -> DataFrame:
-    """Departments and communes in one table with a level mark and centroids."""
+    """Departments and communes in one table with a level mark and centroids.
+
+    Staging has already replaced invalid boundaries by NULL, so each text is parsed just once.
+    """
     upper = departments.select(
         F.col("department_code").alias("geo_code"),
         F.col("department_name").alias("geo_name"),
@@ -134,9 +137,8 @@ def dim_geography(departments: DataFrame, communes: DataFrame) -> DataFrame:
     centre = F.col("centre")
     return (
         upper.unionByName(lower)
-        .withColumn("centre", polygon_centroid(F.col("geometry")))
-        .select(
-            "*", centre["lat"].alias("centroid_lat"), centre["lon"].alias("centroid_lon")
-        )
-        .drop("centre")
+        .withColumn("polygons", geojson_polygons(F.col("geometry")))
+        .withColumn("centre", polygons_centroid(F.col("polygons")))
+        .withColumns({"centroid_lat": centre["lat"], "centroid_lon": centre["lon"]})
+        .drop("polygons", "centre")
     )
