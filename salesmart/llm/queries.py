@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, line_dedup, packing, quality, simhash, token_store
+from salesmart.llm import decontaminate, line_dedup, packing, quality, simhash, token_store, url_filter, vectors
 from salesmart.llm.texts import table
 from salesmart.llm.tokens import default_tokenizer
 from salesmart.session import new_folder
@@ -26,6 +26,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_once(docs))
 
 
+@query
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
@@ -55,3 +60,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), default_tokenizer())
+
+
+@query
+def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
