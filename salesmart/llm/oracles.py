@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from salesmart.llm import licenses, url_filter
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -61,5 +63,89 @@ def op5_decontaminate() -> str:
     """
 
 
+def op6_license_minhash() -> str:
+    own = licenses.templates(licenses.TEMPLATES)
+    rows = ", ".join(
+        f"('{t.name}', {t.window[0]}, {t.window[1]}, {t.needed}, '{s}')" for t in own for s in t.shingles
+    )
+    return f"""
+    WITH wanted(license, length, step, needed, shingle) AS (VALUES {rows}), docs AS (
+        SELECT doc_id, regexp_extract_all({_low("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents WHERE text IS NOT NULL
+    ), places AS (
+        SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS shingle
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)
+    ), hits AS (
+        SELECT doc_id, pos, license, length, step, needed, shingle FROM places JOIN wanted USING (shingle)
+    ), inside AS (
+        SELECT doc_id, license, needed, shingle,
+               unnest(range(CAST(greatest(0, ceil((pos + 5 - length) / step)) AS BIGINT), pos // step + 1)) AS k
+        FROM hits
+    ), full_matches AS (
+        SELECT DISTINCT doc_id, license FROM (
+            SELECT doc_id, license, k, needed FROM inside GROUP BY ALL HAVING count(DISTINCT shingle) >= needed
+        )
+    ), named AS (
+        SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS names FROM full_matches GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses
+    FROM documents LEFT JOIN named USING (doc_id)
+    """
+
+
+def op10_host_trust() -> str:
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in url_filter.RULES)
+    rounds = "".join(
+        f"""
+    , r{k + 1} AS MATERIALIZED (
+        SELECT kind, host, sum(score) AS score FROM (
+            SELECT kind, host, seed * {1 - url_filter.DAMPING} AS score FROM seeds
+            UNION ALL
+            SELECT w.kind, w.dst, share * score * {url_filter.DAMPING} FROM ways w JOIN r{k} r ON w.kind = r.kind AND w.src = r.host
+        ) GROUP BY kind, host
+    )"""
+        for k in range(url_filter.ROUNDS)
+    )
+    return f"""
+    WITH rules(verdict, rhost, rpath) AS (VALUES {rules}), cut AS (
+        SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), parts AS (
+        SELECT page_id, html, {_low("regexp_extract(rest, '^[^/?#]*')")} AS host,
+               regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut
+    ), fits AS (
+        SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict, length(rhost || rpath)) AS ruled
+        FROM (SELECT DISTINCT page_id, host, path FROM parts) JOIN rules
+          ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+        GROUP BY page_id
+    ), judged AS (
+        SELECT p.page_id, html, host, path, rule, ruled FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id
+    ), hosts AS (
+        SELECT host, (count(*) FILTER (ruled = 'allow') > count(*) FILTER (ruled = 'block'))::INT AS trust,
+               (2 * count(*) FILTER (ruled = 'block') > count(*))::INT AS distrust
+        FROM judged WHERE host <> '' GROUP BY host
+    ), seeds AS (
+        SELECT 'trust' AS kind, host, 1.0::DOUBLE AS seed FROM hosts WHERE trust = 1
+        UNION ALL SELECT 'distrust', host, 1.0 FROM hosts WHERE distrust = 1
+    ), links AS (
+        SELECT src, dst, count(*) AS n FROM (
+            SELECT host AS src, {_low("regexp_replace(raw, '^[^@]*@', '')")} AS dst FROM (
+                SELECT host, unnest(regexp_extract_all(html,
+                    '(?i)\\b(?:href|src)\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''\\s<>]+)', 1)) AS raw
+                FROM judged WHERE host <> ''
+            )
+        ) WHERE dst <> '' AND src <> dst GROUP BY ALL
+    ), both_ways AS (
+        SELECT 'trust' AS kind, src, dst, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links
+    ), ways AS (
+        SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM both_ways
+    ), r0 AS (SELECT kind, host, seed * {1 - url_filter.DAMPING} AS score FROM seeds){rounds}, spread AS (
+        SELECT host FROM r{url_filter.ROUNDS} GROUP BY host
+        HAVING coalesce(sum(score) FILTER (kind = 'distrust'), 0) - coalesce(sum(score) FILTER (kind = 'trust'), 0) >= {url_filter.MARGIN}
+    )
+    SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN s.host IS NOT NULL THEN 'block' END, 'allow') AS verdict
+    FROM judged j LEFT JOIN spread s ON j.host = s.host
+    """
+
+
 def build() -> dict[str, str]:
-    return {f.__name__: f() for f in (op2_line_dedup, op5_decontaminate)}
+    return {f.__name__: f() for f in (op2_line_dedup, op5_decontaminate, op6_license_minhash, op10_host_trust)}

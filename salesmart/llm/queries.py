@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, line_dedup, packing, quality, simhash, token_store, url_filter, vectors
+from salesmart.llm import decontaminate, licenses, line_dedup, packing, quality, simhash, token_store, url_filter, vectors
 from salesmart.llm.texts import table
 from salesmart.llm.tokens import default_tokenizer
 from salesmart.session import new_folder
@@ -45,6 +45,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_license_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
