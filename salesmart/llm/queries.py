@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decontaminate, licenses, line_dedup, packing, quality, simhash, token_store, url_filter, vectors
+from salesmart.llm import decontaminate, licenses, line_dedup, packing, pii, quality, simhash, token_store, url_filter, vectors
 from salesmart.llm.texts import table
 from salesmart.llm.tokens import default_tokenizer
 from salesmart.session import new_folder
@@ -20,6 +20,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
