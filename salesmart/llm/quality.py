@@ -5,8 +5,8 @@ computed in linear time as half of sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^
 
 Features are the counts of white-space separated words, A-Z lower-cased and hashed into ``BUCKETS``
 places and damped by the text's length; statistics of the text's structure (shares of letters,
-capitals, digits, marks, table bars and repeated marks, lengths of words and lines); and, as
-metadata, whether the table's ``n_chars`` agrees with the text. Labels, language, source and
+capitals, digits, marks, table bars, repeated marks and repeated words, lengths of words and lines);
+and, as metadata, whether the table's ``n_chars`` agrees with the text. Labels, language, source and
 document id are no features.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, those with the smallest hash of their id:
@@ -30,7 +30,7 @@ from salesmart.llm.texts import LOWER, column, encoded, slices
 BUCKETS = 2048
 RANK = 8
 SAMPLE = 6000
-EPOCHS = 30
+EPOCHS = 20
 THRESHOLD = 0.3
 SEED = 11
 
@@ -41,7 +41,7 @@ _KINDS[list(b" \t\n\v\f\r")] = 4
 _KINDS[list(_MARKS)] = 5
 _KINDS[128:] = 6
 _SINGLE = b"|!#$%&*.,"
-STATISTICS = 6 + len(_SINGLE) + 9
+STATISTICS = 6 + len(_SINGLE) + 11
 WIDTH = BUCKETS + STATISTICS
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(63, _ODD))))
@@ -62,6 +62,7 @@ def features(texts: list[bytes], n_chars: list[int | None]) -> np.ndarray:
     owner = np.searchsorted(start, begin, "right") - 1
     out = np.zeros((n, WIDTH), np.float32)
     words = np.bincount(owner, minlength=n).astype(float)
+    repeats = kinds_of_words = np.zeros(n)
     if len(begin):
         # hash of a word: its first 64 bytes and its length
         length = end - begin
@@ -73,6 +74,9 @@ def features(texts: list[bytes], n_chars: list[int | None]) -> np.ndarray:
         bucket = (hashed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
         counts = np.bincount(owner * BUCKETS + bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)
         out[:, :BUCKETS] = np.sqrt(counts / np.maximum(words, 1)[:, None])
+        again = (hashed[1:] == hashed[:-1]) & (owner[1:] == owner[:-1])
+        repeats = np.bincount(owner[1:][again], minlength=n) / np.maximum(words, 1)
+        kinds_of_words = (counts > 0).sum(axis=1) / np.maximum(np.minimum(words, BUCKETS), 1)
     total = np.maximum(size, 1).astype(float)
     column_ = BUCKETS
 
@@ -101,6 +105,8 @@ def features(texts: list[bytes], n_chars: list[int | None]) -> np.ndarray:
     put(np.log1p(lines) / 8)
     put(np.minimum(size / np.maximum(words, 1) / 20, 3))
     put(np.minimum(size / lines / 2000, 3))
+    put(np.minimum(repeats * 3, 2))
+    put(kinds_of_words)
     put(np.array([len(t) == 0 for t in texts], float))
     code_points = size - per_text((plain & 0xC0) == 0x80)
     put(np.array([c is not None and c != k for c, k in zip(n_chars, code_points.tolist(), strict=True)], float))
