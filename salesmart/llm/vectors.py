@@ -74,9 +74,9 @@ class CrossPolytope:
             size = np.abs(y)
             two = np.argpartition(size, -2, axis=1)[:, -2:]
             value = np.take_along_axis(size, two, 1)
-            first = np.take_along_axis(two, value.argmax(axis=1)[:, None], 1)[:, 0]
-            other = np.take_along_axis(two, value.argmin(axis=1)[:, None], 1)[:, 0]
             rows = np.arange(len(x))
+            larger = value.argmax(axis=1)  # equal values must not name one axis twice
+            first, other = two[rows, larger], two[rows, 1 - larger]
             best.append(2 * first + (y[rows, first] < 0))
             second.append(2 * other + (y[rows, other] < 0))
             loss.append((size[rows, first] - size[rows, other]) ** 2)
