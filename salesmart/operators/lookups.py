@@ -10,9 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def first_of_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key of a reference table: the smallest, so the choice needs no order of arrival."""
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*").select(*df.columns)
+
+
 def label_lookup(df: DataFrame, labels: DataFrame, key: str, label: str, name: str) -> DataFrame:
-    """Add the label of a code; unknown codes keep their row."""
-    pairs = labels.select(key, F.col(label).alias(name))
+    """Add the label of a code; unknown codes keep their row, and a code has one label."""
+    pairs = first_of_key(labels.select(key, F.col(label).alias(name)), key)
     return df.join(pairs, key, "left")
 
 

@@ -15,6 +15,14 @@ PPSQM = "price_per_sqm"
 TYPE = "property_type_label"
 YEAR = "transaction_year"
 DEPARTMENT = "department_code"
+# A price has cents; 38 digits leave room for any number of sales.
+MONEY = "decimal(20,2)"
+
+
+def exact_sum(column: str):
+    """Sum of prices in whole cents, the same for any order of rows; a double at the end."""
+    return F.sum(F.col(column).cast(MONEY)).cast("double")
+
 
 def _sales():
     return F.count(F.lit(1)).alias("transaction_count")
@@ -46,7 +54,7 @@ def count_by_type(fact: DataFrame) -> DataFrame:
 
 
 def value_by_type(fact: DataFrame) -> DataFrame:
-    total = F.round(F.sum(PRICE), 2).alias("total_price_eur")
+    total = exact_sum(PRICE).alias("total_price_eur")
     return fact.groupBy(TYPE).agg(total).orderBy(F.desc("total_price_eur"), TYPE)
 
 

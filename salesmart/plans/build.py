@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators import export, quality
+from salesmart.operators.lookups import first_of_key
 from salesmart.plans.starschema import FolderSource, StarSchema
 from salesmart.sinks import tables as sinks
-from salesmart.sources.contracts import SOURCE_TABLES, YEAR_COLUMN
+from salesmart.sources.contracts import REFERENCE_KEYS, SOURCE_TABLES, YEAR_COLUMN, YEAR_RANGE
 from salesmart.sources.copy_dump import CopyDump
 from salesmart.sources.csv_files import scan_csv_chunks
 from salesmart.sources.geojson import scan_geojson_folder
@@ -27,23 +29,35 @@ def exported(
         "parcelle": export.export_parcelle,
         "disposition_parcelle": export.export_disposition_parcelle,
     }
-    return {
+    kept = {
         name: special[name](df, departments)
         if name in special
         else export.export_simple(df, name, departments)
         for name, df in tables.items()
         if name in SOURCE_TABLES
     }
+    return {
+        name: first_of_key(df, REFERENCE_KEYS[name]) if name in REFERENCE_KEYS else df
+        for name, df in kept.items()
+    }
 
 
-def write_raw(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    """Raw layer below ``root``: sales by year, sorted by department and type; the rest whole."""
+def write_raw(
+    tables: Mapping[str, DataFrame], root: str, last_year: int | None = None
+) -> dict[str, int]:
+    """Raw layer below ``root``: sales by year, sorted by department and type; the rest whole.
+
+    Years have partitions of their own up to ``last_year``, by default the current one.
+    """
     rows = {}
+    until = (last_year or datetime.date.today().year) + 1
     for name, df in tables.items():
         path = f"{root}/{name}"
         if name == "mutation":
             typed = df.withColumn(YEAR_COLUMN, F.col(YEAR_COLUMN).cast("long"))
-            rows[name] = sinks.write_partitioned_clustered(typed, path, YEAR_COLUMN, RAW_CLUSTER)
+            rows[name] = sinks.write_partitioned_clustered(
+                typed, path, YEAR_COLUMN, RAW_CLUSTER, (YEAR_RANGE[0], until)
+            )
         else:
             rows[name] = sinks.write_truncate(df, path)
     return rows

@@ -343,8 +343,8 @@ def build() -> dict[str, str]:
         "write_partitioned_clustered": model_oracle("fct_transactions"),
         "write_truncate": model_oracle("stg_dispositions"),
         "write_chunk": oracle(
-            "SELECT CASE WHEN transaction_year < 2020 THEN 'first' ELSE 'second' END AS batch_id, "
-            "count(*) AS row_count, round(sum(transaction_price_eur), 2) AS total_price_eur "
+            "SELECT CASE WHEN transaction_year < 2020 THEN '001' ELSE '1' END AS batch_id, "
+            "count(*) AS row_count, CAST(sum(CAST(transaction_price_eur AS DECIMAL(20, 2))) AS DOUBLE) AS total_price_eur "
             "FROM stg_mutations GROUP BY 1", "stg_mutations"),
         "materialize_layer": model_oracle("dim_property_types"),
         "load_row_counts": _counts(SOURCE_TABLES, True),
@@ -386,8 +386,8 @@ def build() -> dict[str, str]:
         "dim_communes": model_oracle("dim_communes"),
         "fk_anti_join": _orphans("stg_dispositions", "mutation_id", "stg_mutations", "mutation_id"),
         "resume_anti_join": oracle(
-            "SELECT 'mutation_' || transaction_year || '.csv' AS source_file, count(*) AS row_count "
-            "FROM all_mutations WHERE transaction_year >= 2018 GROUP BY 1", "all_mutations"),
+            "SELECT anneemut, count(*) AS row_count FROM mutation WHERE anneemut >= 2018 GROUP BY 1",
+            "mutation"),
         "label_lookup": oracle(
             "SELECT m.idmutation, m.idnatmut, a.libnatmut AS nature_label FROM mutation m "
             "LEFT JOIN ann_nature_mutation a ON m.idnatmut = a.idnatmut",
@@ -410,7 +410,7 @@ def build() -> dict[str, str]:
         "tile_count_by_type": _fact(
             "SELECT property_type_label, count(*) AS transaction_count FROM fct_transactions GROUP BY 1"),
         "tile_value_by_type": _fact(
-            "SELECT property_type_label, round(sum(transaction_price_eur), 2) AS total_price_eur "
+            "SELECT property_type_label, CAST(sum(CAST(transaction_price_eur AS DECIMAL(20, 2))) AS DOUBLE) AS total_price_eur "
             "FROM fct_transactions GROUP BY 1"),
         "tile_avg_price_by_year": _fact(
             "SELECT transaction_year, round(avg(transaction_price_eur), 6) AS avg_price_eur "
@@ -449,10 +449,8 @@ def build() -> dict[str, str]:
             "LEFT JOIN (SELECT * FROM dim_geography WHERE geo_level = 'commune') g "
             "ON f.commune_code = g.geo_code", "fct_transactions", "dim_geography"),
         "accumulate_row_counts": oracle(
-            "SELECT table_name, CAST(sum(n) AS BIGINT) AS row_count, count(*) AS files FROM ("
-            "SELECT 'mutation' AS table_name, anneemut AS y, count(*) AS n FROM mutation GROUP BY ALL "
-            "UNION ALL SELECT 'local', CAST(anneemut AS BIGINT), count(*) FROM local_ GROUP BY ALL) "
-            "GROUP BY 1", "mutation", "local"),
+            "SELECT 'mutation' AS table_name, count(*) AS row_count FROM mutation "
+            "WHERE anneemut <> 2014", "mutation"),
         # sorts
         "top_types": _fact(
             "SELECT property_type_label, count(*) AS cnt FROM fct_transactions GROUP BY 1 "
@@ -460,7 +458,7 @@ def build() -> dict[str, str]:
         "order_by_year": _fact(
             "SELECT transaction_year, count(*) AS transaction_count FROM fct_transactions GROUP BY 1 ORDER BY 1"),
         "order_by_metric": _fact(
-            "SELECT department_code, round(sum(transaction_price_eur), 2) AS total_price_eur "
+            "SELECT department_code, CAST(sum(CAST(transaction_price_eur AS DECIMAL(20, 2))) AS DOUBLE) AS total_price_eur "
             "FROM fct_transactions GROUP BY 1 ORDER BY 2 DESC, 1"),
         # set operations
         "all_commune_codes": model_oracle("all_commune_codes"),
@@ -499,7 +497,7 @@ def build() -> dict[str, str]:
             "SELECT 'mutation' AS table_name, count(*) AS row_count FROM mutation", "mutation"),
         "chunk_cycle": raw_rows("mutation"),
         "stream_ingest": raw_rows("mutation"),
-        "reingest_subset": raw_rows("mutation"),
+        "reingest_subset": raw_rows("mutation", where="WHERE anneemut <> 2014"),
         "incremental_merge": oracle(
             "SELECT mutation_id, CASE WHEN transaction_year >= 2022 THEN 2 ELSE 1 END AS release, "
             "CASE WHEN transaction_year >= 2022 THEN transaction_price_eur "

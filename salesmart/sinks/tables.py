@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from salesmart.sources.contracts import YEAR_RANGE
 
 YEAR_BUCKET = "year_bucket"
 BATCH = "batch_id"
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -21,9 +29,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write_csv_export(df: DataFrame, path: str) -> int:
-    """CSV with header; NULL is an empty field, an empty text is quoted. Returns the row count."""
+    """CSV with header; NULL is an empty field, an empty text is quoted, blanks stay. Returns the
+    row count."""
     counted, seen = _counted(df)
-    counted.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    counted.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
     return seen.get["rows"]
 
 
@@ -66,10 +75,15 @@ def write_partitioned_clustered(
 
 
 def in_years(df: DataFrame, first: int, last: int, year: str = "transaction_year") -> DataFrame:
-    """Rows of ``first..last``; also names the partitions, so other years are not listed or read."""
+    """Rows of ``first..last``; on a table by year buckets other partitions are not listed or read.
+
+    Years outside the bounds the table was written with are in its NULL partition, so that one is
+    read as well, and the result is right for any bounds.
+    """
     rows = F.col(year).between(first, last)
-    if YEAR_BUCKET in df.columns and YEAR_RANGE[0] <= first and last < YEAR_RANGE[1]:
-        rows = rows & F.col(YEAR_BUCKET).between(first, last)
+    if YEAR_BUCKET in df.columns:
+        bucket = F.col(YEAR_BUCKET)
+        rows = rows & (bucket.between(first, last) | bucket.isNull())
     return df.filter(rows)
 
 
@@ -90,20 +104,20 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 
 
 def write_chunk(df: DataFrame, path: str, batch: str) -> int:
-    """Rows of one batch as their own partition: a repeat replaces it, other batches stay.
-
-    An empty batch writes nothing; emptiness is judged by rows, not by file size.
-    """
-    counted, seen = _counted(df.withColumn(BATCH, F.lit(batch)))
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    """Rows of one batch as their own folder: a repeat replaces it, also by nothing, and other
+    batches stay. Only the batch's folder is touched."""
+    counted, seen = _counted(df)
+    counted.write.mode("overwrite").parquet(f"{path}/{BATCH}={quote(batch, safe='')}")
     return seen.get["rows"]
 
 
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """All batches, each under the very name it was written with (``001`` is not ``1``)."""
+    found = spark.read.parquet(path).schema
+    schema = StructType([f for f in found if f.name != BATCH]).add(BATCH, StringType())
+    return spark.read.schema(schema).parquet(path)
+
+
 def materialize_layer(
     spark: SparkSession,
     df: DataFrame,

@@ -56,6 +56,11 @@ REFERENCE_TABLES = (
     "ann_nature_mutation", "ann_type_local", "ann_cgi", "ann_nature_culture",
     "ann_nature_culture_speciale",
 )
+# Key of each reference table.
+REFERENCE_KEYS = {
+    "ann_nature_mutation": "idnatmut", "ann_type_local": "codtyploc", "ann_cgi": "artcgi",
+    "ann_nature_culture": "natcult", "ann_nature_culture_speciale": "natcultspe",
+}
 SIMPLE_EXPORT_TABLES = ("disposition", "local", "adresse", *REFERENCE_TABLES)
 DEPARTMENT_TABLES = (
     "mutation", "disposition", "disposition_parcelle", "local", "parcelle", "adresse", "suf",

@@ -1,62 +1,62 @@
 """File-arrival ingestion, as resumable batches and as a stream.
 
-Every written row is in the partition of its source file, and partitions are overwritten
-dynamically: a batch that ran twice, or died before its manifest entry, leaves the same table.
+Each attempt writes a folder of its own, ``table/batch_id=...``, and is recorded in the manifest
+once its data is committed. Readers keep the (file, batch) pairs that the manifest names as newest,
+so an attempt that died leaves rows that nobody sees, a repeated file replaces its earlier rows,
+and a file that became empty loses them. No batch looks at the folders of others.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
+from salesmart.operators.lookups import first_of_key
+from salesmart.sources.contracts import REFERENCE_KEYS
 from salesmart.sources.copy_dump import CopyDump
 from salesmart.sources.csv_files import CSV_OPTIONS, scan_csv_table
-from salesmart.streaming.manifest import append_manifest, read_manifest, resume_anti_join
+from salesmart.streaming.manifest import (
+    append_manifest,
+    current_entries,
+    new_batch,
+    read_manifest,
+    resume_anti_join,
+)
 
 SOURCE = "source_file"
+BATCH = "batch_id"
 DEFAULT_GROUP = 10
 
 
-def discover(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Files below a folder, also in delivery subfolders, with the role their name gives them:
-    schema set-up, shared reference data, or sales."""
-    listing = (
+def _listing(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    """Files with the name their rows carry (``source_file``) and a path to read them by."""
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(folder)
+        .load(paths)
     )
-    lower = F.lower(F.element_at(F.split("path", "/"), -1))
-    role = (
-        F.when(lower.contains("init"), "init")
-        .when(lower.contains("annexe"), "reference")
-        .otherwise("data")
+    return found.select(
+        F.col("_metadata.file_path").alias(SOURCE), "path", "length", "modificationTime"
     )
-    return listing.select(F.col("path").alias(SOURCE), "length", role.alias("role"))
 
 
-def write_by_source(df: DataFrame, path: str) -> None:
-    """Replace the partitions of the source files in ``df``, leave all others.
+def discover(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Files below a folder, also in delivery subfolders, with the role their name gives them.
 
-    The rows of one file may be most of the data, so rows are not gathered by file: tasks write
-    what they hold, and Spark commits the touched partitions together.
+    The role only orders the work: set-up files first, then shared reference data, then sales.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SOURCE)
-        .parquet(path)
+    lower = F.lower(F.element_at(F.split("path", "/"), -1))
+    role = (
+        F.when(lower.contains("init"), "init")
+        .when(lower.contains("annexe"), "reference")
+        .otherwise("data")
     )
-
-
-def batch_name(files: Sequence[str]) -> str:
-    """Name that depends on the files of the batch only, so a repeat has the same name."""
-    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:16]
+    return _listing(spark, folder, pattern).select(SOURCE, "path", "length", role.alias("role"))
 
 
 Reader = Callable[[SparkSession, Sequence[str]], dict[str, DataFrame]]
@@ -76,42 +76,63 @@ def dump_reader(spark: SparkSession, files: Sequence[str]) -> dict[str, DataFram
     return {name: dump.table(name, lineage=True) for name in dump.tables()}
 
 
-def ingest_files(
-    spark: SparkSession,
-    files: Sequence[str],
-    target: str,
-    manifest: str,
-    read: Reader,
+def _record(
+    spark: SparkSession, listed: DataFrame, tables: dict[str, DataFrame], target: str, log: str
 ) -> DataFrame:
-    """One batch: read, replace the partitions of its files, count, record. Returns the counts."""
-    tables = read(spark, files)
-    counts = None
+    """Write one batch as a folder of its own, count it by file, record it. Returns the counts."""
+    batch, counts = new_batch(), None
     for name, df in tables.items():
-        write_by_source(df, f"{target}/{name}")
+        place = f"{target}/{name}/{BATCH}={batch}"
+        df.write.parquet(place)
+        # the files just written and one column of them
         stored = (
-            spark.read.parquet(f"{target}/{name}")
-            .filter(F.col(SOURCE).isin(list(files)))
+            spark.read.schema(df.schema)
+            .parquet(place)
             .groupBy(SOURCE)
             .agg(F.count(F.lit(1)).alias("row_count"))
             .withColumn("table_name", F.lit(name))
         )
         counts = stored if counts is None else counts.unionByName(stored)
-    # a file without rows must be recorded too, or it would be offered again for ever
-    listed = spark.createDataFrame([(f,) for f in files], f"{SOURCE} string")
+    zero = F.lit(0).cast("long").alias("row_count")
     if counts is None:
-        counts = listed.select(
-            SOURCE, F.lit(0).cast("long").alias("row_count"), F.lit("").alias("table_name")
-        )
+        counts = listed.select(SOURCE, zero, F.lit("").alias("table_name"))
     else:
-        counts = listed.join(counts, SOURCE, "left").select(
+        # a file without rows is recorded too: it is done, and its earlier rows are gone
+        only = next(iter(tables)) if len(tables) == 1 else ""
+        counts = listed.select(SOURCE).join(counts, SOURCE, "left").select(
             SOURCE,
             F.coalesce("row_count", F.lit(0)).alias("row_count"),
-            F.coalesce("table_name", F.lit("")).alias("table_name"),
+            F.coalesce("table_name", F.lit(only)).alias("table_name"),
         )
-    append_manifest(counts, batch_name(files), manifest)
+    append_manifest(counts, batch, log)
     return counts
 
 
+def ingest_files(
+    spark: SparkSession,
+    files: Sequence[str],
+    target: str,
+    manifest: str,
+    read: Reader,
+) -> DataFrame:
+    """One batch of files, given by readable paths. Returns their counts."""
+    listed = _listing(spark, list(files))
+    return _record(spark, listed, read(spark, files), target, manifest)
+
+
+def read_ingested(spark: SparkSession, target: str, table: str, manifest: str) -> DataFrame:
+    """Rows of a table that the manifest vouches for; reference tables hold each key once."""
+    found = spark.read.parquet(f"{target}/{table}")
+    # the batch is text, whatever its name looks like
+    schema = StructType([f for f in found.schema if f.name != BATCH]).add(BATCH, StringType())
+    rows = spark.read.schema(schema).parquet(f"{target}/{table}")
+    named = current_entries(read_manifest(spark, manifest)).filter(F.col("table_name") == table)
+    kept = rows.join(named.select(SOURCE, BATCH), [SOURCE, BATCH], "left_semi")
+    kept = kept.select(*[f.name for f in schema if f.name != BATCH])
+    key = REFERENCE_KEYS.get(table)
+    return first_of_key(kept, key) if key in kept.columns else kept
+
+
 def chunk_cycle(
     spark: SparkSession,
     folder: str,
@@ -120,26 +141,21 @@ def chunk_cycle(
     read: Reader,
     pattern: str = "*.csv",
     group: int = DEFAULT_GROUP,
-    stop_after: int | None = None,
 ) -> int:
     """Ingest all files not yet in the manifest, ``group`` files per batch.
 
-    Reference files go first and only once, set-up files carry no rows and are left out. The group
-    size may change between runs: progress is kept per file. Returns the number of batches run.
+    Set-up and reference files go first. The group size may change between runs: progress is kept
+    per file. Returns the number of batches run.
     """
-    waiting = resume_anti_join(
-        discover(spark, folder, pattern).filter("role <> 'init'"), read_manifest(spark, manifest)
-    )
+    waiting = resume_anti_join(discover(spark, folder, pattern), read_manifest(spark, manifest))
     # file names only, as many as a file listing has; the data stays on the executors
-    rows = [(r.role, r[SOURCE]) for r in waiting.select("role", SOURCE).toLocalIterator()]
-    reference = sorted(path for role, path in rows if role == "reference")
+    rows = [(r.role, r.path) for r in waiting.select("role", "path").toLocalIterator()]
+    early = sorted((role, path) for role, path in rows if role != "data")
     data = sorted(path for role, path in rows if role == "data")
-    batches = ([reference] if reference else []) + [list(b) for b in batched(data, group)]
-    done = 0
-    for files in batches[:stop_after]:
+    batches = [*batched([path for _, path in early], group), *batched(data, group)]
+    for files in batches:
         ingest_files(spark, files, target, manifest, read)
-        done += 1
-    return done
+    return len(batches)
 
 
 def reingest_subset(
@@ -149,43 +165,65 @@ def reingest_subset(
     manifest: str,
     read: Reader,
 ) -> None:
-    """Load the named files again; partitions of other files are not touched.
-
-    A file that has become empty keeps its old partition, since nothing is written in its place.
-    """
+    """Load the named files again; their earlier rows count no more, those of others stay."""
     ingest_files(spark, files, target, manifest, read)
 
 
 def stream_ingest(
     spark: SparkSession,
     folder: str,
+    table: str,
     schema: StructType,
     target: str,
+    manifest: str,
     checkpoint: str,
     files_per_trigger: int = DEFAULT_GROUP,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    multiline: bool = False,
 ) -> None:
     """The same ingestion as a stream: progress is the checkpoint, a group is a micro-batch.
 
-    The sink replaces partitions by source file like the batch path, so a micro-batch that runs
-    again, even after the checkpoint was lost, does not duplicate rows.
+    Micro-batches are recorded like batches, so one that runs again, even after the checkpoint was
+    lost, replaces its rows. A file without rows shows up in no micro-batch; those that the manifest
+    does not know in their present state are read once more and recorded if they are empty.
     """
-    source = (
-        spark.readStream.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .csv(folder)
-        .select("*", F.col("_metadata.file_path").alias(SOURCE))
-    )
+
+    def reader(frames):
+        return (
+            frames.schema(schema)
+            .options(**CSV_OPTIONS)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .option("multiLine", multiline)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv")
+        )
+
+    def keep(batch: DataFrame, _: int) -> None:
+        files = batch.select(SOURCE).distinct()
+        _record(spark, files, {table: batch}, target, manifest)
+
+    source = reader(spark.readStream).option("maxFilesPerTrigger", files_per_trigger).csv(folder)
     query = (
-        transform(source)
-        .writeStream.foreachBatch(lambda batch, _: write_by_source(batch, target))
+        transform(source.select("*", F.col("_metadata.file_path").alias(SOURCE)))
+        .writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    known = current_entries(read_manifest(spark, manifest)).groupBy(SOURCE).agg(
+        F.max("committed_at").alias("committed_at")
+    )
+    doubtful = _listing(spark, folder, "*.csv").join(known, SOURCE, "left").filter(
+        "committed_at IS NULL OR modificationTime > committed_at"
+    )
+    # names only, and few: files without rows or changed since their batch
+    paths = [r.path for r in doubtful.select("path").toLocalIterator()]
+    if paths:
+        filled = reader(spark.read).csv(paths).select(F.col("_metadata.file_path").alias(SOURCE))
+        empty = _listing(spark, paths).join(filled.distinct(), SOURCE, "left_anti")
+        empty = empty.select(
+            SOURCE, F.lit(0).cast("long").alias("row_count"), F.lit(table).alias("table_name")
+        )
+        append_manifest(empty, new_batch(), manifest)

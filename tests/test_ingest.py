@@ -13,8 +13,29 @@ def _deliver(folder, count=23, start=0):
         (folder / f"dvf_d{i:02d}.csv").write_text("k,v\n" + "".join(f"{i}-{j},x\n" for j in range(i % 4)))
 
 
-def _rows(spark, target):
-    return sorted(r.k for r in spark.read.parquet(f"{target}/t").collect())
+def _rows(spark, target, log):
+    return sorted(r.k for r in ingest.read_ingested(spark, target, "t", log).collect())
+
+
+def _totals(spark, log):
+    return {r.table_name: r.row_count for r in manifest.accumulate_row_counts(manifest.read_manifest(spark, log)).collect()}
+
+
+class Killed(Exception):
+    pass
+
+
+def _dying_after(read, batches):
+    """A reader that fails once it has served so many batches."""
+    served = []
+
+    def run(spark, files):
+        served.append(files)
+        if len(served) > batches:
+            raise Killed
+        return read(spark, files)
+
+    return run
 
 
 def _truth(count=23):
@@ -30,13 +51,13 @@ def places(tmp_path):
 def test_groups_resume_and_changed_group_size(spark, places):
     landing, target, log = places
     read = ingest.csv_reader("t")
-    assert ingest.chunk_cycle(spark, landing, target, log, read, group=10, stop_after=2) == 2
-    # killed after two groups; resumed with another group size
+    with pytest.raises(Killed):
+        ingest.chunk_cycle(spark, landing, target, log, _dying_after(read, 2), group=10)
+    # resumed with another group size
     assert ingest.chunk_cycle(spark, landing, target, log, read, group=2) == 2
     assert ingest.chunk_cycle(spark, landing, target, log, read, group=10) == 0
-    assert _rows(spark, target) == _truth()
-    totals = {r.table_name: r.row_count for r in manifest.accumulate_row_counts(manifest.read_manifest(spark, log)).collect()}
-    assert totals["t"] == len(_truth())
+    assert _rows(spark, target, log) == _truth()
+    assert _totals(spark, log) == {"t": len(_truth())}
     assert manifest.read_manifest(spark, log).select("source_file").distinct().count() == 23
 
 
@@ -53,7 +74,7 @@ def test_crash_between_data_and_manifest_repeats_without_duplicates(spark, place
             ingest.chunk_cycle(spark, landing, target, log, read)
     assert manifest.read_manifest(spark, log).count() == 0
     assert ingest.chunk_cycle(spark, landing, target, log, read) == 3
-    assert _rows(spark, target) == _truth()
+    assert _rows(spark, target, log) == _truth()
 
 
 def test_reingest_replaces_only_its_files(spark, places, tmp_path):
@@ -61,33 +82,68 @@ def test_reingest_replaces_only_its_files(spark, places, tmp_path):
     read = ingest.csv_reader("t")
     ingest.chunk_cycle(spark, landing, target, log, read)
     (tmp_path / "in" / "dvf_d03.csv").write_text("k,v\nfixed,x\n")
-    lost = [r.source_file for r in ingest.discover(spark, landing, "*d03.csv").collect()]
-    ingest.reingest_subset(spark, lost, target, log, read)
-    want = sorted([k for k in _truth() if not k.startswith("3-")] + ["fixed"])
-    assert _rows(spark, target) == want
+    (tmp_path / "in" / "dvf_d07.csv").write_text("k,v\n")  # three rows before
+    again = [str(tmp_path / "in" / f"dvf_d{i}.csv") for i in ("03", "07", "11")]  # plain paths
+    ingest.reingest_subset(spark, again, target, log, read)
+    want = sorted([k for k in _truth() if not k.startswith(("3-", "7-"))] + ["fixed"])
+    assert _rows(spark, target, log) == want
+    assert _totals(spark, log) == {"t": len(want)}
+
+
+@pytest.mark.parametrize("name", ["dvf_initial_d01.csv", "sales_definitive.csv", "vente é 1.csv", "a%20b+c.csv"])
+def test_no_name_hides_a_file(spark, tmp_path, name):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / name).write_text("k,v\n1,x\n2,y\n")
+    target, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    assert ingest.chunk_cycle(spark, str(tmp_path / "in"), target, log, ingest.csv_reader("t")) == 1
+    assert ingest.chunk_cycle(spark, str(tmp_path / "in"), target, log, ingest.csv_reader("t")) == 0
+    assert _rows(spark, target, log) == ["1", "2"] and _totals(spark, log) == {"t": 2}
+    ingest.reingest_subset(spark, [str(tmp_path / "in" / name)], target, log, ingest.csv_reader("t"))
+    assert _rows(spark, target, log) == ["1", "2"] and _totals(spark, log) == {"t": 2}
+
+
+def test_work_per_batch_does_not_grow(spark, places):
+    landing, target, log = places
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+
+    def read(session, files):
+        session.sparkContext.setJobGroup(f"batch-{len(jobs)}", "")
+        jobs.append(f"batch-{len(jobs)}")
+        return ingest.csv_reader("t")(session, files)
+
+    ingest.chunk_cycle(spark, landing, target, log, read, group=3)
+    spark.sparkContext._jsc.clearJobGroup()
+    counts = [len(tracker.getJobIdsForGroup(j)) for j in jobs]
+    assert len(counts) == 8 and max(counts[1:]) <= counts[0] + 1
 
 
 def test_stream_equals_batches(spark, places, tmp_path):
     landing, target, log = places
     ingest.chunk_cycle(spark, landing, target, log, ingest.csv_reader("t"))
-    out, check = str(tmp_path / "stream" / "t"), str(tmp_path / "checkpoint")
+    out, out_log, check = (str(tmp_path / x) for x in ("stream", "stream-log", "checkpoint"))
     schema = text_schema(["k", "v"])
-    ingest.stream_ingest(spark, landing, schema, out, check, 10)
-    assert _rows(spark, str(tmp_path / "stream")) == _rows(spark, target)
+    ingest.stream_ingest(spark, landing, "t", schema, out, out_log, check, 10)
+    assert _rows(spark, out, out_log) == _rows(spark, target, log)
+    assert manifest.read_manifest(spark, out_log).select("source_file").distinct().count() == 23
     _deliver(tmp_path / "in", 4, start=23)
-    ingest.stream_ingest(spark, landing, schema, out, check, 10)  # only the new files
-    assert _rows(spark, str(tmp_path / "stream")) == _truth(27)
-    ingest.stream_ingest(spark, landing, schema, out, str(tmp_path / "fresh"), 7)  # lost checkpoint
-    assert _rows(spark, str(tmp_path / "stream")) == _truth(27)
+    ingest.stream_ingest(spark, landing, "t", schema, out, out_log, check, 10)  # only the new files
+    assert _rows(spark, out, out_log) == _truth(27)
+    ingest.stream_ingest(spark, landing, "t", schema, out, out_log, str(tmp_path / "fresh"), 7)  # lost checkpoint
+    assert _rows(spark, out, out_log) == _truth(27) and _totals(spark, out_log) == {"t": len(_truth(27))}
+    (tmp_path / "in" / "dvf_d07.csv").write_text("k,v\n")
+    ingest.stream_ingest(spark, landing, "t", schema, out, out_log, str(tmp_path / "fresh"), 7)
+    want = [k for k in _truth(27) if not k.startswith("7-")]
+    assert _rows(spark, out, out_log) == want and _totals(spark, out_log) == {"t": len(want)}
 
 
 def test_stream_of_the_event_table(spark, sf, tmp_path):
     events = spark.read.parquet(f"{sf}/events.parquet").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("value").cast("string").alias("value"))
     events.repartition(5).write.option("header", True).csv(str(tmp_path / "in"))
-    out = str(tmp_path / "out")
-    ingest.stream_ingest(spark, str(tmp_path / "in"), text_schema(events.columns), out, str(tmp_path / "check"), 2)
-    back = spark.read.parquet(out).drop("source_file")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    ingest.stream_ingest(spark, str(tmp_path / "in"), "events", text_schema(events.columns), out, log, str(tmp_path / "check"), 2)
+    back = ingest.read_ingested(spark, out, "events", log).drop("source_file")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, events.collect()))
 
 
@@ -100,12 +156,15 @@ def test_dump_delivery_with_reference_files(spark, tmp_path):
         (folder / f"dvf_plus_d0{i}.sql").write_text(
             f"COPY dvf_plus_2025_2.dvf_plus_mutation (idmutation, l_par) FROM stdin;\n{i}\t{{a,b}}\n\\.\n")
     target, log = str(tmp_path / "raw"), str(tmp_path / "log")
-    run = lambda **kw: ingest.chunk_cycle(spark, str(tmp_path / "in"), target, log, ingest.dump_reader, "*.sql", **kw)
-    assert run(group=2, stop_after=2) == 2
-    assert run(group=1) == 1
-    # reference rows are loaded once, not once per group
-    assert spark.read.parquet(f"{target}/ann_type_local").count() == 2
-    got = sorted((r.idmutation, r.l_par) for r in spark.read.parquet(f"{target}/mutation").collect())
+    (folder / "dvf_plus_d09.sql").write_text("COPY dvf_plus_annexe.ann_type_local (codtyploc, libtyploc) FROM stdin;\n2\tAppartement\n3\tLocal\n\\.\n")
+    run = lambda read, **kw: ingest.chunk_cycle(spark, str(tmp_path / "in"), target, log, read, "*.sql", **kw)
+    with pytest.raises(Killed):
+        run(_dying_after(ingest.dump_reader, 2), group=2)
+    assert run(ingest.dump_reader, group=1) == 2
+    # a reference row that two files deliver is there once
+    types = ingest.read_ingested(spark, target, "ann_type_local", log)
+    assert sorted(r.codtyploc for r in types.collect()) == ["1", "2", "3"]
+    got = sorted((r.idmutation, r.l_par) for r in ingest.read_ingested(spark, target, "mutation", log).collect())
     assert got == [(str(i), ["a", "b"]) for i in range(3)]
 
 
@@ -117,9 +176,10 @@ def test_roles(spark, tmp_path):
         "init.sql": "init", "annexe.sql": "reference", "d2A.sql": "data"}
 
 
-def test_broken_or_missing_manifest_is_a_fresh_start(spark, tmp_path):
+def test_missing_manifest_is_a_fresh_start_and_a_broken_one_an_error(spark, tmp_path):
     assert manifest.read_manifest(spark, str(tmp_path / "none")).count() == 0
-    bad = tmp_path / "bad" / "batch_id=1"
+    bad = tmp_path / "bad" / "batch_id=b1"
     bad.mkdir(parents=True)
     (bad / "part-0.parquet").write_text("not parquet")
-    assert manifest.read_manifest(spark, str(tmp_path / "bad")).count() == 0
+    with pytest.raises(Exception, match="part-0.parquet"):
+        manifest.read_manifest(spark, str(tmp_path / "bad")).count()
