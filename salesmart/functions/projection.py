@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,17 @@ UTM_ZONES = {
     "972": (-63.0, False),
     "973": (-51.0, False),
     "974": (57.0, True),
+    "975": (-57.0, False),
     "976": (45.0, True),
 }
+# Reference systems by their public registry number; the national grid, geographic
+# coordinates, and the UTM zones as (central meridian, southern hemisphere).
+GRID_SRID = 2154
+GEOGRAPHIC_SRIDS = (4326, 4171, 4258)
+UTM_SRIDS = {
+    5490: (-63.0, False), 4467: (-57.0, False), 2972: (-51.0, False), 2975: (57.0, True),
+    4471: (45.0, True),
+}
 MAINLAND = r"^(?:[0-9]{2}|2[AB])$"
 
 ECCENTRICITY = math.sqrt(FLATTENING * (2 - FLATTENING))
@@ -70,9 +79,11 @@ def utm_series() -> tuple[float, tuple[float, ...], tuple[float, ...]]:
     return radius, beta, delta
 
 
-def utm_to_latlon(x: Column, y: Column, meridian: float, south: bool) -> tuple[Column, Column]:
+def utm_to_latlon(
+    x: Column, y: Column, meridian: Column | float, northing: Column | float
+) -> tuple[Column, Column]:
     radius, beta, delta = utm_series()
-    xi = (y - (UTM_SOUTH_NORTHING if south else 0.0)) / (UTM_SCALE * radius)
+    xi = (y - northing) / (UTM_SCALE * radius)
     eta = (x - UTM_EASTING) / (UTM_SCALE * radius)
     xi1, eta1 = xi, eta
     for j, b in enumerate(beta, start=1):
@@ -86,37 +97,76 @@ def utm_to_latlon(x: Column, y: Column, meridian: float, south: bool) -> tuple[C
     return F.degrees(lat), F.degrees(lon) + meridian
 
 
-def to_latlon(x: Column, y: Column, department: Column) -> Column:
-    """struct<latitude, longitude> by the grid of the department; unknown department -> NULL."""
-    def pair(values: tuple[Column, Column]) -> Column:
-        return F.struct(values[0].alias("latitude"), values[1].alias("longitude"))
-
-    out = F.when(department.rlike(MAINLAND), pair(grid_to_latlon(x, y)))
-    for code, (meridian, south) in UTM_ZONES.items():
-        out = out.when(department == code, pair(utm_to_latlon(x, y, meridian, south)))
-    return F.when(x.isNotNull() & y.isNotNull(), out)
-
-
-POSITION = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+def _zones(department: Column, srid: Column) -> tuple[Column, Column]:
+    """(central meridian, false northing) of the UTM zone that applies, NULL if none does."""
+    meridian, south = F.lit(None).cast("double"), F.lit(False)
+    rows = [((srid == 0) & (department == code), zone) for code, zone in UTM_ZONES.items()]
+    rows += [(srid == number, zone) for number, zone in UTM_SRIDS.items()]
+    for first, below in ((32600, False), (32700, True)):  # the worldwide numbering
+        rows.append((srid.between(first + 1, first + 60), ((srid - first) * 6.0 - 183.0, below)))
+    for own, (degrees, below) in rows:
+        meridian = F.when(own, degrees).otherwise(meridian)
+        south = F.when(own, F.lit(below)).otherwise(south)
+    return meridian, F.when(south, UTM_SOUTH_NORTHING).otherwise(0.0)
+
+
+def with_latlon(df: DataFrame, x: str, y: str, department: str, srid: str | None = None) -> DataFrame:
+    """Adds ``latitude`` and ``longitude`` of a position.
+
+    The value's own reference system decides; an unknown one gives NULL. Without one (NULL or 0)
+    the grid of the department is taken; an unknown department gives NULL.
+    """
+    known = F.coalesce(F.col(srid), F.lit(0)) if srid else F.lit(0)
+    meridian, northing = _zones(F.col(department), F.col("__srid"))
+    # columns of their own: inside the series they would be repeated hundreds of times
+    ready = (
+        df.withColumns({"__srid": known, "__x": F.col(x), "__y": F.col(y)})
+        .withColumns({"__meridian": meridian, "__northing": northing})
+    )
+    px, py, own = F.col("__x"), F.col("__y"), F.col("__srid")
+    grid = ((own == 0) & F.col(department).rlike(MAINLAND)) | (own == GRID_SRID)
+    systems = (
+        (grid, grid_to_latlon(px, py)),
+        (own.isin(*GEOGRAPHIC_SRIDS), (py, px)),
+        (F.col("__meridian").isNotNull(), utm_to_latlon(px, py, F.col("__meridian"), F.col("__northing"))),
+    )
+    lat = lon = F.lit(None).cast("double")
+    for applies, (a, b) in reversed(systems):
+        lat, lon = F.when(applies, a).otherwise(lat), F.when(applies, b).otherwise(lon)
+    there = px.isNotNull() & py.isNotNull()
+    placed = ready.withColumns({"latitude": F.when(there, lat), "longitude": F.when(there, lon)})
+    return placed.drop("__srid", "__x", "__y", "__meridian", "__northing")
+
+
+POSITION = T.StructType(
+    [
+        T.StructField("x", T.DoubleType()),
+        T.StructField("y", T.DoubleType()),
+        T.StructField("srid", T.IntegerType()),
+    ]
+)
 
 _SRID_FLAG = 0x20000000
 _POINT, _MULTIPOINT = 1, 4
 
 
 def _mean_position(hexes: pd.Series) -> pd.DataFrame:
-    """Mean x, y of hex EWKB points; geometries of one layout are decoded together."""
-    out = np.full((len(hexes), 2), np.nan)
-    present = hexes.notna().to_numpy()
-    text = hexes.where(present, "")
-    layouts = pd.DataFrame({"head": text.str[:10], "size": text.str.len()})
-    for (head, size), rows in layouts[present].groupby(["head", "size"]).indices.items():
-        where = np.flatnonzero(present)[rows]
-        if len(head) < 10:
-            continue
+    """Mean x, y and reference system of hex EWKB points; one layout is decoded at a time.
+
+    Text that is no hex, or no POINT or MULTIPOINT in two dimensions, gives NULL.
+    """
+    out = np.full((len(hexes), 3), np.nan)
+    text = hexes.fillna("").astype(str)
+    # two digits for each byte, byte order and kind first
+    fine = text.str.fullmatch("(?:[0-9A-Fa-f]{2}){5,}").to_numpy(dtype=bool)
+    layouts = pd.DataFrame({"head": text.str[:10], "size": text.str.len()})[fine]
+    for (head, size), rows in layouts.groupby(["head", "size"]).indices.items():
+        where = np.flatnonzero(fine)[rows]
         little = head[:2] == "01"
         order = "<" if little else ">"
         kind = int.from_bytes(bytes.fromhex(head[2:]), "little" if little else "big")
-        start = 9 if kind & _SRID_FLAG else 5
+        has_srid = bool(kind & _SRID_FLAG)
+        start = 9 if has_srid else 5
         kind &= ~_SRID_FLAG
         raw = np.frombuffer(bytes.fromhex("".join(text.iloc[where])), dtype=np.uint8)
         raw = raw.reshape(len(where), size // 2)
@@ -128,8 +178,10 @@ def _mean_position(hexes: pd.Series) -> pd.DataFrame:
         else:
             continue
         xy = np.ascontiguousarray(body).view(f"{order}f8").reshape(len(where), -1, 2)
-        out[where] = xy.mean(axis=1)
-    frame = pd.DataFrame(out, columns=["x", "y"])
+        out[where, :2] = xy.mean(axis=1)
+        if has_srid:
+            out[where, 2] = np.ascontiguousarray(raw[:, 5:9]).view(f"{order}u4")[:, 0] % 2**31
+    frame = pd.DataFrame(out, columns=["x", "y", "srid"])
     return frame.astype(object).where(frame.notna(), None)
 
 
@@ -138,16 +190,3 @@ def ewkb_position(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Mean position of a POINT or MULTIPOINT given as hex EWKB; other geometries -> NULL."""
     for hexes in batches:
         yield _mean_position(hexes)
-
-
-def _encode_points(frame: pd.DataFrame) -> pd.Series:
-    head = bytes.fromhex("01") + (_POINT | _SRID_FLAG).to_bytes(4, "little") + (2154).to_bytes(4, "little")
-    xy = np.ascontiguousarray(frame[["x", "y"]].to_numpy(dtype="<f8"))
-    return pd.Series([(head + row.tobytes()).hex().upper() for row in xy])
-
-
-@F.pandas_udf(T.StringType())
-def point_ewkb(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """x, y -> hex EWKB point, as a dump stores it."""
-    for x, y in batches:
-        yield _encode_points(pd.DataFrame({"x": x, "y": y}))

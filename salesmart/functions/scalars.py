@@ -11,9 +11,17 @@ OVERSEAS_PREFIX = "97"
 LEVEL1_LABELS = {"1": "Built property", "2": "Unbuilt land"}
 LEVEL1_OTHER = "Other"
 
-# Date text and valid department codes (two digits, 2A/2B, 971-976).
+# Date text; the 101 department codes (01-95 without 20, 2A/2B, five overseas), and
+# those with one overseas territory that deliveries may also name.
 DATE_FORMAT = "yyyy-M-d"
-DEPARTMENT_CODE = r"^(?:[0-9]{2}|2[AB]|97[1-6])$"
+DEPARTMENTS = tuple(
+    sorted(
+        [f"{n:02d}" for n in range(1, 96) if n != 20]
+        + ["2A", "2B", "971", "972", "973", "974", "976"]
+    )
+)
+OFFICIAL_DEPARTMENT = r"^(?:0[1-9]|1[0-9]|2[1-9AB]|[3-8][0-9]|9[0-5]|97[1-46])$"
+DEPARTMENT_CODE = r"^(?:0[1-9]|1[0-9]|2[1-9AB]|[3-8][0-9]|9[0-5]|97[1-6])$"
 
 
 def safe_parse_date(text: Column) -> Column:
@@ -65,16 +73,27 @@ def array_first(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
 
+# One element: quoted with escapes, or bare. No alternative is repeated, so matching needs no depth
+# that grows with the text.
+_PG_ELEMENT = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",]++'
+
+
 def pg_array(text: Column) -> Column:
-    """Array literal text such as ``{01004,"a b",NULL}`` -> array of strings."""
-    body = F.regexp_extract(text, r"(?s)^\{(.*)\}$", 1)
-    parts = F.split(body, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    elements = F.transform(
-        parts,
-        lambda e: F.when(F.upper(e) == "NULL", F.lit(None).cast("string")).otherwise(
-            F.regexp_replace(F.regexp_replace(e, r'^"|"$', ""), r"\\(.)", "$1")
-        ),
-    )
+    """Array literal text such as ``{01004,"a b",NULL}`` -> array of strings, in linear time.
+
+    Only a bare NULL is NULL. The text must be an array literal, braces included.
+    """
+    body = F.substring(text, F.lit(2), F.length(text) - 2)
+
+    def value(e: Column) -> Column:
+        inner = F.substring(e, F.lit(2), F.length(e) - 2)
+        plain = F.when(F.contains(inner, F.lit("\\")), F.regexp_replace(inner, r"(?s)\\(.)", "$1")).otherwise(inner)
+        bare = F.when(F.upper(e) != "NULL", e)
+        return F.when(e.startswith('"'), plain).otherwise(bare)
+
+    simple = F.transform(F.split(body, ","), lambda e: F.when(F.upper(e) != "NULL", e))
+    quoted = F.transform(F.regexp_extract_all(body, F.lit(_PG_ELEMENT), F.lit(0)), value)
+    elements = F.when(F.contains(body, F.lit('"')), quoted).otherwise(simple)
     empty = F.array().cast("array<string>")
     return F.when(text.isNotNull(), F.when(body == "", empty).otherwise(elements))
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.projection import ewkb_position, to_latlon
+from salesmart.functions.projection import ewkb_position, with_latlon
 from salesmart.functions.scalars import DEPARTMENT_CODE, array_first
+from salesmart.sinks.tables import write_truncate
 from salesmart.sources.contracts import (
     DEPARTMENT_TABLES,
     DISPOSITION_PARCELLE_DROPPED,
@@ -23,7 +24,7 @@ from salesmart.sources.contracts import (
 def check_departments(codes: Sequence[str]) -> list[str]:
     """The codes as a list; ValueError if one cannot be a department."""
     for code in codes:
-        if not re.match(DEPARTMENT_CODE, code):
+        if not re.fullmatch(DEPARTMENT_CODE.strip("^$"), code):
             raise ValueError(f"not a department code: {code!r}")
     return list(codes)
 
@@ -40,18 +41,25 @@ def filter_departments(
     return df.filter(F.col("coddep").isin(check_departments(departments)))
 
 
-delete_outside_departments = filter_departments
+def delete_outside_departments(
+    spark: SparkSession, path: str, table: str, departments: Sequence[str] | None = None
+) -> int:
+    """Keep only the given departments in a stored table. Returns its rows afterwards.
+
+    The rest is written beside it and takes its place when it is complete; without departments,
+    or for a table without a department, nothing is written.
+    """
+    stored = spark.read.parquet(path)
+    kept = filter_departments(stored, table, departments)
+    return stored.count() if kept is stored else write_truncate(kept, path)
 
 
 def point_to_latlon(df: DataFrame, point: str = MUTATION_POINT) -> DataFrame:
     """Replace a hex point geometry by latitude and longitude of its mean position."""
-    place = to_latlon(F.col("position.x"), F.col("position.y"), F.col("coddep"))
-    return (
-        df.withColumn("position", ewkb_position(F.col(point)))
-        .withColumn("place", place)
-        .withColumns({"latitude": F.col("place.latitude"), "longitude": F.col("place.longitude")})
-        .drop("position", "place", point)
-    )
+    located = df.withColumn("position", ewkb_position(F.col(point)))
+    flat = located.withColumns({f"position_{c}": F.col(f"position.{c}") for c in ("x", "y", "srid")})
+    placed = with_latlon(flat, "position_x", "position_y", "coddep", "position_srid")
+    return placed.drop("position", "position_x", "position_y", "position_srid", point)
 
 
 def export_mutation(df: DataFrame, departments: Sequence[str] | None = None) -> DataFrame:

@@ -6,9 +6,11 @@ is sort-merged, and adaptive execution splits a hot key of the big side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.session import new_folder, path_exists, remove_folder
+
 
 def first_of_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key of a reference table: the smallest, so the choice needs no order of arrival."""
@@ -19,8 +21,12 @@ def first_of_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def label_lookup(df: DataFrame, labels: DataFrame, key: str, label: str, name: str) -> DataFrame:
-    """Add the label of a code; unknown codes keep their row, and a code has one label."""
-    pairs = first_of_key(labels.select(key, F.col(label).alias(name)), key)
+    """Add the label of a code; unknown codes keep their row, and a code has one label.
+
+    The small side is dealt anew after its grouping, so the join has exchanges of its own on both
+    sides and adaptive execution can split a hot code.
+    """
+    pairs = first_of_key(labels.select(key, F.col(label).alias(name)), key).hint("rebalance")
     return df.join(pairs, key, "left")
 
 
@@ -61,6 +67,45 @@ def incremental_merge(
     return both.groupBy(key).agg(newest).select(key, "row.*").select(*both.columns)
 
 
+def merge_release(
+    spark: SparkSession, path: str, incoming: DataFrame, key: str, version: str, year: str
+) -> None:
+    """Overlay a stored history, partitioned by ``year``, by a release.
+
+    Only year partitions that the release touches are read whole and replaced: those of its rows,
+    and those where a stored row has one of its keys (a sale may have changed its year). The key
+    column alone is read to find these. Other partitions keep their files.
+    """
+    if not path_exists(spark, path):
+        first = incremental_merge(incoming.limit(0), incoming, key, version)
+        first.write.partitionBy(year).parquet(path)
+        return
+    stored = spark.read.parquet(path)
+    # one value per partition
+    moved = stored.select(key, year).join(incoming.select(key), key, "left_semi").select(year)
+    touched = incoming.select(year).unionByName(moved).distinct()
+    years = [r[0] for r in touched.toLocalIterator()]
+    chosen = F.col(year).isin([y for y in years if y is not None])
+    if None in years:
+        chosen = F.coalesce(chosen, F.lit(True))
+    order = incoming.columns
+    merged = incremental_merge(stored.filter(chosen).select(*order), incoming, key, version)
+    fresh = new_folder(spark, "merged")
+    merged.write.parquet(fresh)  # what is read cannot be replaced while it is read
+    kept = spark.read.schema(merged.schema).parquet(fresh)
+    (
+        kept.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(year)
+        .parquet(path)
+    )
+    # a partition whose rows all moved to other years is written by nobody
+    left = {r[0] for r in kept.select(year).distinct().toLocalIterator()}
+    for gone in set(years) - left:
+        name = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone
+        remove_folder(spark, f"{path}/{year}={name}")
+
+
 def append_new(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Existing rows plus the incoming rows whose key is not there yet."""
     return existing.unionByName(incoming.join(existing.select(key), key, "left_anti"))

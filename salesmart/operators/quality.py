@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.scalars import DEPARTMENT_CODE
+from salesmart.functions.scalars import DEPARTMENTS, OFFICIAL_DEPARTMENT
 from salesmart.operators.lookups import fk_anti_join
 from salesmart.sources.contracts import (
     DATE_RULE,
@@ -256,7 +256,7 @@ def dq_department_codes(df: DataFrame, column: str = "department_code") -> DataF
     return (
         df.groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .filter(~F.coalesce(F.col("value").rlike(DEPARTMENT_CODE), F.lit(False)))
+        .filter(~F.coalesce(F.col("value").rlike(OFFICIAL_DEPARTMENT), F.lit(False)))
     )
 
 
@@ -280,13 +280,23 @@ def dq_coverage(
     used: DataFrame, used_key: str, official: DataFrame, official_key: str
 ) -> DataFrame:
     """Codes known on one side only: in the sales but not official, or official but never sold."""
-    left = used.select(F.col(used_key).alias("code")).filter("code IS NOT NULL").distinct()
-    right = official.select(F.col(official_key).alias("code")).filter("code IS NOT NULL").distinct()
-    return left.join(right, "code", "left_anti").select(
-        "code", F.lit("not_official").alias("gap")
-    ).unionByName(
-        right.join(left, "code", "left_anti").select("code", F.lit("not_sold").alias("gap"))
+    # one row per code and side, so each side is read once and hot codes are single rows
+    left = used.select(F.col(used_key).alias("code")).distinct().withColumn("sold", F.lit(True))
+    right = official.select(F.col(official_key).alias("code")).distinct().withColumn(
+        "official", F.lit(True)
     )
+    both = left.filter("code IS NOT NULL").join(right.filter("code IS NOT NULL"), "code", "full_outer")
+    gap = F.when(F.col("official").isNull(), "not_official").when(F.col("sold").isNull(), "not_sold")
+    return both.select("code", gap.alias("gap")).filter("gap IS NOT NULL")
+
+
+def dq_missing_departments(df: DataFrame, column: str = "department_code") -> DataFrame:
+    """Departments of the official list without a row."""
+    listed = df.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, DEPARTMENTS))).alias("department_code")
+    )
+    present = df.select(F.col(column).alias("department_code")).distinct()
+    return listed.join(present, "department_code", "left_anti")
 
 
 def dq_code_length(df: DataFrame, column: str = "commune_code", length: int = 5) -> DataFrame:

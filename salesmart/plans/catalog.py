@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions import geo, scalars
-from salesmart.functions.projection import point_ewkb
 from salesmart.operators import enrich, export, lookups, marts, quality, serving, staging
 from salesmart.plans.starschema import StarSchema
 from salesmart.session import new_folder
@@ -22,6 +21,7 @@ from salesmart.sources.contracts import (
     raw_schema,
 )
 from salesmart.sources.copy_dump import CopyDump, write_copy_dump
+from salesmart.sources.trial_points import point_ewkb, srid_of
 from salesmart.sources.trial_tables import TrialTables
 from salesmart.streaming import ingest, manifest
 
@@ -217,9 +217,8 @@ def list_partitions(spark: SparkSession, folder: str) -> DataFrame:
 def _dumped_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Dumped sales with their point as hex geometry."""
     sales = TrialTables(spark, folder).mutation_dump()
-    return sales.withColumn(MUTATION_POINT, point_ewkb("point_x", "point_y")).drop(
-        "point_x", "point_y"
-    )
+    place = point_ewkb("point_x", "point_y", srid_of(F.col("coddep")))
+    return sales.withColumn(MUTATION_POINT, place).drop("point_x", "point_y")
 
 
 @query
@@ -270,8 +269,10 @@ def filter_departments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def delete_outside_departments(spark: SparkSession, folder: str) -> DataFrame:
-    addresses = TrialTables(spark, folder).table("adresse")
-    return export.delete_outside_departments(addresses, "adresse", ["2B", "10", "974"])
+    path = new_folder(spark, "stored")
+    sinks.write_truncate(TrialTables(spark, folder).table("adresse"), path)
+    export.delete_outside_departments(spark, path, "adresse", ["2B", "10", "974"])
+    return spark.read.parquet(path)
 
 
 @query
@@ -767,16 +768,18 @@ def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     """A release of the years to 2023, overlaid by a newer release of the years from 2022."""
     columns = ("mutation_id", "transaction_year", "transaction_price_eur", "department_code")
     sales = star(spark, folder).stg_mutations(columns)
-    kept = ("mutation_id", "release", "transaction_price_eur", "department_code")
-    asked = F.col("transaction_price_eur") + 1000.0
     old = (
         sales.filter("transaction_year < 2024")
-        .withColumn("transaction_price_eur", asked)
+        .withColumn("transaction_price_eur", F.col("transaction_price_eur") + 1000.0)
         .withColumn("release", F.lit(1))
-        .select(*kept)
     )
-    new = sales.filter("transaction_year >= 2022").withColumn("release", F.lit(2)).select(*kept)
-    return lookups.incremental_merge(old, new, "mutation_id", "release")
+    new = sales.filter("transaction_year >= 2022").withColumn("release", F.lit(2))
+    path = new_folder(spark, "history")
+    lookups.merge_release(spark, path, old, "mutation_id", "release", "transaction_year")
+    lookups.merge_release(spark, path, new, "mutation_id", "release", "transaction_year")
+    return spark.read.parquet(path).select(
+        "mutation_id", "release", "transaction_price_eur", "department_code"
+    )
 
 
 # --- data quality -----------------------------------------------------------------------------
@@ -847,11 +850,7 @@ def dq_fk_chain(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_department_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Validity of the first three characters of the deed commune, most of which are no department."""
-    sales = star(spark, folder).stg_mutations(("insee_code",))
-    return quality.dq_department_codes(
-        sales.select(F.substring("insee_code", 1, 3).alias("department_code"))
-    )
+    return quality.dq_department_codes(star(spark, folder).stg_mutations(("department_code",)))
 
 
 @query

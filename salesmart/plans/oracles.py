@@ -537,8 +537,9 @@ def build() -> dict[str, str]:
             "WHERE disposition_parcel_id NOT IN (SELECT disposition_parcel_id FROM stg_parcelles)",
             "stg_parcelles", "stg_dispositions", "stg_locals"),
         "dq_department_codes": oracle(
-            "SELECT insee_code[1:3] AS value, count(*) AS row_count FROM stg_mutations GROUP BY 1 "
-            "HAVING value IS NULL OR NOT regexp_full_match(value, '[0-9]{2}|2[AB]|97[1-6]')",
+            "SELECT department_code AS value, count(*) AS row_count FROM stg_mutations GROUP BY 1 "
+            "HAVING value IS NULL OR value = '20' "
+            "OR NOT regexp_full_match(value, '0[1-9]|[1-8][0-9]|9[0-5]|2[AB]|97[12346]')",
             "stg_mutations"),
         "dq_type_not_null": oracle(
             "SELECT count(*) FILTER (property_type_code IS NULL) AS failures, count(*) AS row_count "

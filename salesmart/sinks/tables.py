@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from urllib.parse import quote
 
@@ -28,6 +29,32 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another by renaming, the old one last to go.
+
+    Readers see the old or the new table; only between two renames there is none. A failed write
+    never gets this far, so it leaves the old table as it was.
+    """
+    new, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}-old")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"could not move {path} away")
+    if not had:
+        files.mkdirs(place.getParent())
+    if not files.rename(new, place):
+        raise OSError(f"could not move {fresh} to {path}")
+    if had:
+        files.delete(old, True)
+
+
+def _beside(path: str) -> str:
+    """Fresh folder in the same place, hidden from readers of the parent."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex[:8]}"
+
+
 def write_csv_export(df: DataFrame, path: str) -> int:
     """CSV with header; NULL is an empty field, an empty text is quoted, blanks stay. Returns the
     row count."""
@@ -39,7 +66,9 @@ def write_csv_export(df: DataFrame, path: str) -> int:
 def write_truncate(df: DataFrame, path: str) -> int:
     """Full replacement of a table; running it again leaves the same rows."""
     counted, seen = _counted(df)
-    counted.write.mode("overwrite").parquet(path)
+    fresh = _beside(path)
+    counted.write.parquet(fresh)
+    replace_folder(df.sparkSession, fresh, path)
     return seen.get["rows"]
 
 
@@ -62,14 +91,15 @@ def write_partitioned_clustered(
     and merge undersized tasks, so a year or department that holds a third of the rows is written
     by many tasks while small ones do not scatter into tiny files.
     """
+    fresh = _beside(path)
     (
         df.withColumn(YEAR_BUCKET, year_bucket(F.col(year), years))
         .hint("rebalance", YEAR_BUCKET, cluster[0])
         .sortWithinPartitions(YEAR_BUCKET, *cluster)
-        .write.mode("overwrite")
-        .partitionBy(YEAR_BUCKET)
-        .parquet(path)
+        .write.partitionBy(YEAR_BUCKET)
+        .parquet(fresh)
     )
+    replace_folder(df.sparkSession, fresh, path)
     # counted from the footers of the files just written
     return df.sparkSession.read.parquet(path).count()
 

@@ -6,7 +6,11 @@ The only context a split lacks is which block it starts in. A first pass keeps o
 
 1. marks: one small row per split, written to the shared folder;
 2. lines: an Arrow pass labels each line with the last mark seen in its split; lines ahead of the
-   first mark take the label carried over from earlier splits.
+   first mark take the label carried over from earlier splits. These carried labels, three numbers
+   a split, are broadcast while there are at most ``BROADCAST_SPLITS`` of them (at 128 MB a split,
+   250 TB), so no line is ever exchanged; beyond that they are joined.
+
+A line outside any block that starts like a block header but cannot be read is an error.
 
 Fields are split, unescaped and typed by native expressions. A data line of a one-column table
 that spells a complete COPY header cannot be told from a header.
@@ -31,8 +35,11 @@ from salesmart.sources.contracts import ARRAY_PREFIX, DUMP_TABLE_PREFIX, GEOMETR
 BLOCK_HEADER = r"^COPY (\w+)\.(\w+) \(([^)\t]*)\) FROM stdin;$"
 BLOCK_END = r"\."
 NULL_FIELD = r"\N"
+_LIKE_HEADER = r"^COPY .* FROM stdin;\s*$"
 ESCAPES = {r"\b": "\b", r"\f": "\f", r"\n": "\n", r"\r": "\r", r"\t": "\t", r"\v": "\v"}
 
+BROADCAST_SPLITS = 2_000_000
+
 _OUTSIDE = 0  # id of "in no block"; headers count from 1
 _CARRIED = -1  # id of "same block as the end of the previous split"
 
@@ -61,9 +68,46 @@ def plain_name(table: str) -> str:
     return table.removeprefix(DUMP_TABLE_PREFIX)
 
 
+_MOVED = "dump was cut differently in the second pass; read it again"
+
+
+def _states(
+    batches: Iterator[pd.DataFrame], carried: dict[tuple[str, int], int] | None
+) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Each batch with the header id in force at its lines.
+
+    Lines ahead of a split's first mark take the carried id, or ``_CARRIED`` if none are given.
+    """
+    previous, state = (None, None), _CARRIED
+    for frame in batches:
+        if frame.empty:
+            continue
+        marks = frame["mark"].to_numpy(dtype="float64", na_value=np.nan)
+        fresh = (frame["file"] != frame["file"].shift()) | (frame["block"] != frame["block"].shift())
+        fresh.iloc[0] = (frame["file"].iloc[0], frame["block"].iloc[0]) != previous
+        state_at = marks.copy()
+        for row in np.flatnonzero(fresh.to_numpy() & np.isnan(marks)):
+            key = (frame["file"].iloc[row], int(frame["block"].iloc[row]))
+            if carried is not None and key not in carried:
+                raise RuntimeError(_MOVED)
+            state_at[row] = _CARRIED if carried is None else carried[key]
+        if np.isnan(state_at[0]):
+            state_at[0] = state
+        state_at = pd.Series(state_at).ffill().to_numpy().astype("int32")
+        previous = (frame["file"].iloc[-1], int(frame["block"].iloc[-1]))
+        state = int(state_at[-1])
+        outside = frame.loc[np.isnan(marks) & (state_at == _OUTSIDE), "value"]
+        odd = outside[outside.str.match(_LIKE_HEADER)]
+        if len(odd):
+            raise ValueError(f"block header that cannot be read: {odd.iloc[0]!r}")
+        yield frame, state_at
+
+
 class CopyDump:
     """Tables of one or more dump files."""
 
+    broadcast_splits = BROADCAST_SPLITS
+
     def __init__(self, spark: SparkSession, paths: str | list[str], pattern: str = "*.sql"):
         self.spark = spark
         self.paths = paths
@@ -77,6 +121,10 @@ class CopyDump:
         self._marks().write.parquet(folder)
         self._splits = spark.read.parquet(folder)
         self._headers = self._distinct_headers()
+        if not self._headers:
+            odd = self._splits.agg(F.max("odd")).first()[0]
+            if odd is not None:
+                raise ValueError(f"block header that cannot be read: {odd!r}")
         self._stored: str | None = None
 
     def _lines(self) -> DataFrame:
@@ -103,12 +151,14 @@ class CopyDump:
         per_split = marked.groupBy("file", "block").agg(
             F.max(F.when(F.col("mark").isNotNull(), F.struct("at", "mark")))["mark"].alias("last"),
             F.collect_set(F.when(F.col("mark") != "", F.col("mark"))).alias("headers"),
+            F.max(F.when(F.col("mark").isNull() & F.col("value").rlike(_LIKE_HEADER), F.col("value"))).alias("odd"),
         )
         earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
         return per_split.select(
             "file",
             "block",
             "headers",
+            "odd",
             F.coalesce(F.last("last", ignorenulls=True).over(earlier), F.lit("")).alias("carried"),
         )
 
@@ -162,36 +212,36 @@ class CopyDump:
         numbered = self._lines().withColumn(
             "mark", F.when(F.col("mark").isNotNull(), self._header_id(F.col("mark")))
         )
+        splits = self._splits.select(
+            "file", "block", self._header_id(F.col("carried")).alias("carried")
+        )
+        if splits.count() > self.broadcast_splits:
+            return self._labelled_by_join(numbered, splits, wanted)
+        known = splits.toPandas()
+        carried = self.spark.sparkContext.broadcast(
+            dict(zip(zip(known["file"], known["block"]), known["carried"].astype(int)))
+        )
+
+        def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame, state in _states(batches, carried.value):
+                chosen = frame["mark"].isna().to_numpy() & np.isin(state, sorted(wanted))
+                yield frame.loc[chosen, ["file", "value"]].assign(header=state[chosen])
+
+        return numbered.mapInPandas(label, "file string, value string, header int")
+
+    def _labelled_by_join(
+        self, numbered: DataFrame, splits: DataFrame, wanted: set[int]
+    ) -> DataFrame:
         keep = [_CARRIED, *sorted(wanted)]
 
         def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            previous, state = (None, None), _CARRIED
-            for frame in batches:
-                if frame.empty:
-                    continue
-                marks = frame["mark"].to_numpy(dtype="float64", na_value=np.nan)
-                is_data = np.isnan(marks)
-                fresh = (frame["file"] != frame["file"].shift()) | (
-                    frame["block"] != frame["block"].shift()
-                )
-                fresh.iloc[0] = (frame["file"].iloc[0], frame["block"].iloc[0]) != previous
-                state_at = marks.copy()
-                state_at[is_data & fresh.to_numpy()] = _CARRIED
-                if np.isnan(state_at[0]):
-                    state_at[0] = state
-                state_at = pd.Series(state_at).ffill().to_numpy().astype("int32")
-                previous = (frame["file"].iloc[-1], frame["block"].iloc[-1])
-                state = int(state_at[-1])
-                chosen = is_data & np.isin(state_at, keep)
-                out = frame.loc[chosen, ["file", "block", "value"]]
-                yield out.assign(header=state_at[chosen])
+            for frame, state in _states(batches, None):
+                chosen = frame["mark"].isna().to_numpy() & np.isin(state, keep)
+                yield frame.loc[chosen, ["file", "block", "value"]].assign(header=state[chosen])
 
         lines = numbered.mapInPandas(label, "file string, block long, value string, header int")
-        splits = self._splits.select(
-            "file", "block", self._header_id(F.col("carried")).alias("carried")
-        )
         joined = lines.join(splits, ["file", "block"], "left")
-        moved = F.raise_error(F.lit("dump was cut differently in the second pass; read it again"))
+        moved = F.raise_error(F.lit(_MOVED))
         carried = F.when(F.col("carried").isNull(), moved.cast("int")).otherwise(F.col("carried"))
         header = F.when(F.col("header") == _CARRIED, carried).otherwise(F.col("header"))
         return joined.select("file", "value", header.alias("header")).filter(

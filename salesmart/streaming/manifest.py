@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.session import path_exists
+
 SCHEMA = (
     "source_file string, batch_id string, table_name string, row_count long, "
     "committed_at timestamp"
@@ -19,11 +21,6 @@ def new_batch() -> str:
     return f"b{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Committed entries. Only a missing folder is a fresh start; a damaged part, missing rights
     or another schema are errors that name the file, never a shorter manifest."""

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.functions.projection import point_ewkb
+from salesmart.sources.trial_points import point_ewkb, srid_of
 from salesmart.operators.quality import QualityError
 from salesmart.plans import catalog
 from salesmart.plans.build import build_from_csv, build_from_dump, exported
@@ -50,7 +50,7 @@ def test_csv_delivery(spark, sf, boundaries, tmp_path):
 
 def test_dump_delivery(spark, sf, boundaries, tmp_path):
     trial = catalog.TrialTables(spark, sf)
-    place = point_ewkb("point_x", "point_y")
+    place = point_ewkb("point_x", "point_y", srid_of(F.col("coddep")))
     sales = trial.table("mutation_dump").withColumn("geomlocmut", place).drop("point_x", "point_y")
     lines = {t: trial.table(t).dropDuplicates([k]) for t, k in (
         ("disposition", "iddispo"), ("local", "iddispoloc"), ("disposition_parcelle", "iddispopar"))}

@@ -65,11 +65,24 @@ def test_reprojection_round_trip(spark):
         rows.append((code, lat, lon, x, y))
     rows.append(("99X", 0.0, 0.0, 1.0, 1.0))
     df = spark.createDataFrame(rows, "d string, lat double, lon double, x double, y double")
-    got = df.select("d", "lat", "lon", projection.to_latlon(F.col("x"), F.col("y"), F.col("d")).alias("p")).collect()
+    got = projection.with_latlon(df, "x", "y", "d").collect()
     for r in got[:-1]:
-        assert r.p.latitude == pytest.approx(r.lat, abs=1e-8), r.d
-        assert r.p.longitude == pytest.approx(r.lon, abs=1e-8), r.d
-    assert got[-1].p is None
+        assert r.latitude == pytest.approx(r.lat, abs=1e-8), r.d
+        assert r.longitude == pytest.approx(r.lon, abs=1e-8), r.d
+    assert got[-1].latitude is None and got[-1].longitude is None
+
+
+def test_reference_system_of_the_value_decides(spark):
+    grid, reunion, world = _to_grid(48.8566, 2.3522), _to_utm(-21.1, 55.5, 57.0, True), _to_utm(46.8, -56.2, -57.0, False)
+    rows = [("a", 2.3522, 48.8566, 4326), ("b", *grid, 2154), ("c", *reunion, 2975), ("d", *world, 4467), ("e", *world, 32621),
+            ("f", *reunion, 32740), ("g", 1.0, 1.0, 3857), ("h", *grid, 0), ("i", *grid, None), ("j", None, 1.0, 4326)]
+    df = spark.createDataFrame([(k, x, y, s, "75") for k, x, y, s in rows], "k string, x double, y double, s int, d string")
+    got = {r.k: (r.latitude, r.longitude) for r in projection.with_latlon(df, "x", "y", "d", "s").collect()}
+    want = {"a": (48.8566, 2.3522), "b": (48.8566, 2.3522), "c": (-21.1, 55.5), "d": (46.8, -56.2), "e": (46.8, -56.2),
+            "f": (-21.1, 55.5), "h": (48.8566, 2.3522), "i": (48.8566, 2.3522)}
+    for k, place in want.items():
+        assert got[k] == pytest.approx(place, abs=1e-5), k
+    assert got["g"] == got["j"] == (None, None)
 
 
 def test_grid_constants_match_published_values():
@@ -91,13 +104,13 @@ def _points(*xy):
 
 def test_binary_points(spark):
     rows = [(_point(1.5, 2.5),), (_point(3, 4, ">"),), (_point(5, 6, srid=False),), (None,),
-            (_points((0, 0), (2, 4)),), (_points((1, 1), (2, 2), (6, 3)),), ("0103",), ("",)]
+            (_points((0, 0), (2, 4)),), (_points((1, 1), (2, 2), (6, 3)),), ("0103",), ("",), ("01zz00000020",), ("010",), (_point(1, 2)[:-1] + "x",)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, g string").repartition(3)
     got = {r.i: r.p and (r.p.x, r.p.y) for r in df.select("i", projection.ewkb_position("g").alias("p")).collect()}
     empty = (None, (None, None))
     assert got[0] == (1.5, 2.5) and got[1] == (3, 4) and got[2] == (5, 6)
     assert got[4] == (1, 2) and got[5] == (3, 2)
-    assert all(got[i] in empty for i in (3, 6, 7))
+    assert all(got[i] in empty for i in (3, 6, 7, 8, 9, 10))
 
 
 def test_export_of_sales(spark):
@@ -121,6 +134,6 @@ def test_department_filter(spark):
     assert export.filter_departments(df, "ann_cgi", ["75"]).count() == 3
     for code in ("01", "2A", "2B", "976"):
         export.check_departments([code])
-    for code in ("1", "75A", "20A", "977", "75'; --", ""):
+    for code in ("1", "75A", "20A", "977", "75'; --", "", "75\n", "00", "20", "96", "99"):
         with pytest.raises(ValueError):
             export.check_departments([code])

@@ -73,6 +73,26 @@ def test_array_text(spark):
     assert firsts == ["01004", None, "a b", None, None]
 
 
+def test_quoted_array_text(spark):
+    texts = [r'{"a,b\"c","d"}', r'{"NULL",null,"","\\"}', '{"' + "x" * 100_000 + '",y}', '{a,"line\nbreak"}']
+    assert column(spark, texts, scalars.pg_array) == [
+        ['a,b"c', "d"], ["NULL", None, "", "\\"], ["x" * 100_000, "y"], ["a", "line\nbreak"],
+    ]
+
+
+def test_long_array_text_in_linear_time(spark):
+    many = 100_000
+    texts = ["{" + ",".join(f'"{i}"' for i in range(many)) + "}", "{" + ",".join(map(str, range(many))) + "}"]
+    assert column(spark, texts, lambda v: F.size(scalars.pg_array(v))) == [many, many]
+
+
+def test_departments():
+    import re
+
+    assert len(scalars.DEPARTMENTS) == 101 and all(re.match(scalars.OFFICIAL_DEPARTMENT, c) for c in scalars.DEPARTMENTS)
+    assert not any(re.match(scalars.OFFICIAL_DEPARTMENT, c) for c in ("00", "20", "96", "99", "975", "977", "2C"))
+
+
 def test_calendar_starts_weeks_on_sunday(spark):
     df = spark.createDataFrame([(datetime.date(2023, 1, 1),), (datetime.date(2023, 1, 7),),
                                 (datetime.date(2023, 12, 4),)], "d date")

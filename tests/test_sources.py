@@ -169,7 +169,7 @@ def test_partitioned_write_keeps_odd_years_and_prunes(spark, tmp_path):
     one = sinks.in_years(back, 2023, 2023)
     assert one.count() == 4 and len(one.inputFiles()) == len(back.inputFiles())
     plan = one._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(year_bucket" in plan
+    assert "PartitionFilters: [(((year_bucket" in plan and "isnull(year_bucket" in plan
     assert sinks.in_years(back, 1999, 1999).count() == 4
 
 
@@ -196,3 +196,109 @@ def test_row_counts_include_empty_tables(spark):
     df = spark.createDataFrame([(1,), (2,)], "v long")
     got = {r.table_name: r.row_count for r in sinks.load_row_counts({"a": df, "b": df.filter("v > 9")}).collect()}
     assert got == {"a": 2, "b": 0, "(total)": 2}
+
+
+def test_header_that_cannot_be_read_is_an_error(spark, tmp_path):
+    (tmp_path / "a.sql").write_text("COPY parcelle (idpar) FROM stdin;\n1\n\\.\n")
+    with pytest.raises(ValueError, match="cannot be read"):
+        CopyDump(spark, str(tmp_path / "a.sql"))
+    (tmp_path / "b.sql").write_text("COPY s.dvf_plus_local (idloc) FROM stdin;\n1\n\\.\nCOPY parcelle (idpar) FROM stdin;\n1\n\\.\n")
+    with pytest.raises(Exception, match="cannot be read"):
+        CopyDump(spark, str(tmp_path / "b.sql")).table("local").collect()
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_dump_lines_with_and_without_broadcast(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(CopyDump, "broadcast_splits", limit)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = "".join(f"{i}\tv{i}\n" for i in range(2000))
+        (tmp_path / "a.sql").write_text(f"-- x\nCOPY s.dvf_plus_local (idloc, v) FROM stdin;\n{rows}\\.\nCOPY s.dvf_plus_lot (idlot) FROM stdin;\n7\n\\.\n")
+        dump = CopyDump(spark, str(tmp_path / "a.sql"))
+        local = dump.table("local")
+        assert sorted(int(r.idloc) for r in local.collect()) == list(range(2000))
+        plan = local._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan or "Join" in plan) == (limit == 0)
+        assert [r.idlot for r in dump.table("lot").collect()] == ["7"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_keeps_blanks(spark, tmp_path):
+    from salesmart.sinks.tables import write_csv_export
+
+    rows = [(" a ", "  "), ("\tb", ""), (None, 'q"u,o'), ("x", "é ")]
+    write_csv_export(spark.createDataFrame(rows, "k string, v string"), str(tmp_path / "t.csv"))
+    back = scan_csv_table(spark, str(tmp_path / "t.csv"), "t").collect()
+    assert sorted(map(str, map(tuple, back))) == sorted(map(str, rows))
+
+
+def test_years_outside_the_written_bounds_are_found(spark, tmp_path):
+    df = spark.createDataFrame([(y, "01", "1") for y in range(2010, 2030)], "transaction_year long, department_code string, property_type_code string")
+    path = str(tmp_path / "fact")
+    sinks.write_partitioned_clustered(df, path, years=(2014, 2020))
+    back = spark.read.parquet(path)
+    for first, last in ((2022, 2023), (2012, 2016), (2018, 2025), (2015, 2015), (2000, 2050)):
+        got = sinks.in_years(back, first, last)
+        assert sorted(r.transaction_year for r in got.collect()) == [y for y in range(2010, 2030) if first <= y <= last]
+        assert "PartitionFilters: [(((year_bucket" in got._jdf.queryExecution().toString()
+
+
+def test_batches_keep_their_names_and_can_become_empty(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    for batch in ("001", "1", "a/b=c", "last"):
+        assert sinks.write_chunk(df, path, batch) == 3
+    assert sinks.write_chunk(df.where("k > 9"), path, "last") == 0
+    counts = {r.batch_id: r["count"] for r in sinks.read_chunks(spark, path).groupBy("batch_id").count().collect()}
+    assert counts == {"001": 3, "1": 3, "a/b=c": 3}
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_truncate(spark.range(5), path)
+    broken = spark.range(5).withColumn("x", F.expr("if(id = 3, raise_error('no'), 1)"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_truncate(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    sinks.write_truncate(spark.read.parquet(path).where("id < 2"), path)  # reads what it replaces
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_money_is_exact_in_any_order(spark):
+    from decimal import Decimal
+
+    from salesmart.operators import serving
+
+    r = random.Random(0)
+    cents = [r.randrange(10**12) for _ in range(20_000)]
+    want = float(Decimal(sum(cents)) / 100)
+    for seed in range(3):
+        random.Random(seed).shuffle(cents)
+        df = spark.createDataFrame([(c / 100,) for c in cents], "p double").repartition(seed + 2)
+        assert df.agg(serving.exact_sum("p")).first()[0] == want
+
+
+def test_untouched_years_keep_their_files(spark, tmp_path):
+    from salesmart.operators import lookups
+
+    path = tmp_path / "history"
+    schema = "k long, y long, p double, v int"
+    rows = [(1, 2020, 1.0, 1), (2, 2020, 2.0, 1), (3, 2021, 3.0, 1), (4, 2022, 4.0, 1), (5, None, 5.0, 1)]
+    lookups.merge_release(spark, str(path), spark.createDataFrame(rows, schema), "k", "v", "y")
+    files = lambda y: sorted(p.name for p in (path / f"y={y}").glob("*.parquet"))
+    before = {y: files(y) for y in (2020, 2021, 2022)}
+    news = [(3, 2022, 33.0, 2), (6, 2022, 6.0, 2), (4, 2022, 0.0, 0)]  # one moves its year, one is older
+    lookups.merge_release(spark, str(path), spark.createDataFrame(news, schema), "k", "v", "y")
+    got = {r.k: (r.y, r.p, r.v) for r in spark.read.parquet(str(path)).collect()}
+    assert got == {1: (2020, 1.0, 1), 2: (2020, 2.0, 1), 3: (2022, 33.0, 2), 4: (2022, 4.0, 1), 5: (None, 5.0, 1), 6: (2022, 6.0, 2)}
+    assert files(2020) == before[2020] and files(2021) == [] and files(2022) != before[2022]
+
+
+def test_reference_rows_once_per_key(spark):
+    from salesmart.operators import lookups
+
+    labels = spark.createDataFrame([("1", "Maison"), ("1", "Maison"), ("1", "House"), ("2", None)], "k string, l string")
+    rows = spark.createDataFrame([("1",), ("2",), ("3",)], "k string")
+    got = sorted(map(tuple, lookups.label_lookup(rows, labels, "k", "l", "label").collect()))
+    assert got == [("1", "House"), ("2", None), ("3", None)]
