@@ -168,30 +168,78 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
-def _set_check(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    """A check over groups of rows: repeated values, orphans, unexpected values."""
-    df = models[check.model]
-    if check.test == "unique":
-        failures = dq_unique(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-    elif check.test == "relationships":
-        orphans = dq_relationships(df, check.column, models[check.to], check.field)
-        failures = orphans.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("failures"))
-    else:
-        bad = dq_accepted_values(df, check.column, check.values)
-        failures = bad.agg(F.count(F.lit(1)).alias("failures"))
-    return failures.select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.severity).alias("severity"),
-        "failures",
+_OWN = "own"
+
+
+def _keys_of(df: DataFrame, model: str, checks: list[Check]) -> DataFrame | None:
+    """(domain, key, role) rows that a model gives to the set checks, in one scan.
+
+    A domain is a column whose values must be unique or be referred to. Its own model gives its
+    values under the role "own"; a relationship gives the child's values under its number.
+    Unexpected values are a domain of their own.
+    """
+    cells: dict[tuple[str, str], Column] = {}
+    for number, check in enumerate(checks):
+        if check.test == "unique" and check.model == model:
+            cells[f"{model}.{check.column}", _OWN] = F.col(check.column)
+        elif check.test == "relationships":
+            if check.to == model:
+                cells[f"{model}.{check.field}", _OWN] = F.col(check.field)
+            if check.model == model:
+                cells[f"{check.to}.{check.field}", str(number)] = F.col(check.column)
+        elif check.test == "accepted_values" and check.model == model:
+            bad = F.when(~F.col(check.column).isin(*check.values), F.col(check.column))
+            cells[f"values of {model}.{check.column}", _OWN] = bad
+    if not cells:
+        return None
+    rows = [
+        F.struct(F.lit(d).alias("domain"), F.lit(r).alias("role"), c.cast("string").alias("key"))
+        for (d, r), c in cells.items()
+    ]
+    return df.select(F.inline(F.array(*rows))).filter("key IS NOT NULL")
+
+
+def _set_checks(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All checks over groups of rows (repeated values, orphans, unexpected values): every model is
+    scanned once, and one two-phase grouping by (domain, key) serves them all."""
+    parts = [_keys_of(models[m], m, checks) for m in dict.fromkeys([c.model for c in checks] + [c.to for c in checks if c.to])]
+    keyed = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+    links = [str(k) for k, c in enumerate(checks) if c.test == "relationships"]
+    per_key = keyed.groupBy("domain", "key").agg(
+        F.count_if(F.col("role") == _OWN).alias(_OWN),
+        *[F.count_if(F.col("role") == k).alias(f"n{k}") for k in links],
+    )
+    totals = per_key.groupBy("domain").agg(
+        F.count_if(F.col(_OWN) > 1).alias("repeated"),
+        F.count_if(F.col(_OWN) > 0).alias("present"),
+        *[F.sum(F.when(F.col(_OWN) == 0, F.col(f"n{k}")).otherwise(0)).alias(f"n{k}") for k in links],
     )
+    rows = []
+    for number, check in enumerate(checks):
+        domain, found = f"{check.model}.{check.column}", F.col("repeated")
+        if check.test == "relationships":
+            domain, found = f"{check.to}.{check.field}", F.col(f"n{number}")
+        elif check.test == "accepted_values":
+            domain, found = f"values of {domain}", F.col("present")
+        # a domain without any key has no row, and no failure
+        rows.append(
+            F.struct(
+                F.lit(check.model).alias("model"),
+                F.lit(check.column).alias("column"),
+                F.lit(check.test).alias("test"),
+                F.lit(check.severity).alias("severity"),
+                F.sum(F.when(F.col("domain") == domain, found).otherwise(0)).alias("failures"),
+            )
+        )
+    single = totals.agg(F.array(*rows).alias("checks"))
+    out = single.select(F.inline("checks"))
+    return out.withColumn("failures", F.coalesce("failures", F.lit(0)))
 
 
 def dq_report(models: Mapping[str, DataFrame], checks: Sequence[Check] | None = None) -> DataFrame:
     """One row per check: model, column, test, severity, failures, status.
 
-    Give it written tables: every set check is a scan of its model.
+    Give it written tables: a model is scanned at most twice, for its row checks and for its keys.
     """
     checks = declared_checks() if checks is None else list(checks)
     row_tests = ("not_null", "expression")
@@ -200,7 +248,9 @@ def dq_report(models: Mapping[str, DataFrame], checks: Sequence[Check] | None =
         single = [c for c in checks if c.model == model and c.test in row_tests]
         if single:
             parts.append(_row_checks(models[model], single))
-    parts += [_set_check(models, c) for c in checks if c.test not in row_tests]
+    grouped = [c for c in checks if c.test not in row_tests]
+    if grouped:
+        parts.append(_set_checks(models, grouped))
     status = F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "warn", "warn").otherwise("fail")
     )

@@ -70,3 +70,21 @@ def test_minimum_features_and_code_length(spark):
     got = quality.dq_min_features({"a": codes}, {"a": 4}).first()
     assert (got.features, got.minimum, got.ok) == (3, 4, False)
     assert [tuple(r) for r in quality.dq_code_length(codes).collect()] == [("970001", 1)]
+
+
+def test_report_scans_a_model_twice_at_most(spark, sf):
+    from salesmart.plans import catalog
+
+    models = catalog.all_models(spark, sf)
+    plan = quality.dq_report(models)._jdf.queryExecution().executedPlan().toString()
+    scans = Counter(part.split("]", 1)[0] for part in plan.split("Location: InMemoryFileIndex(1 paths)[")[1:])
+    assert len(scans) == len(quality.UNIQUE) and max(scans.values()) <= 2
+    assert plan.count("Exchange hashpartitioning(domain") <= 2
+
+
+def test_missing_departments(spark):
+    from salesmart.functions.scalars import DEPARTMENTS
+
+    codes = spark.createDataFrame([(c,) for c in DEPARTMENTS if c not in ("2A", "971")] + [("00",), (None,)], "department_code string")
+    assert sorted(r[0] for r in quality.dq_missing_departments(codes).collect()) == ["2A", "971"]
+    assert {r.value for r in quality.dq_department_codes(codes).collect()} == {"00", None}
