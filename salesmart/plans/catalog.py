@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from salesmart.sources.contracts import (
     MUTATION_POINT,
     PRINCIPAL_TABLES,
     REFERENCE_TABLES,
+    SIMPLE_EXPORT_TABLES,
     SOURCE_TABLES,
     raw_schema,
 )
@@ -38,17 +41,30 @@ def star(spark: SparkSession, folder: str) -> StarSchema:
     return StarSchema(spark, TrialTables(spark, folder))
 
 
-# Marts are written once per session and input folder; the serving queries read them.
-_WRITTEN: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+# Marts are written once per session and state of the input; the serving queries read them. A
+# folder has one entry: when its files change, the new state takes the place of the old one.
+_WRITTEN: dict[tuple[str, str, str], tuple[str, dict[str, DataFrame]]] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the input files, as the file system lists them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def _written(spark: SparkSession, folder: str, what: str, models: tuple[str, ...] | None):
-    key = (spark.sparkContext.applicationId, folder, what)
-    if key not in _WRITTEN:
+    key, state = (spark.sparkContext.applicationId, folder, what), _state(spark, folder)
+    if _WRITTEN.get(key, ("",))[0] != state:
         root = new_folder(spark, f"star-{what}")
         schema = star(spark, folder)
-        _WRITTEN[key] = schema.publish(root) if models is None else schema.publish(root, models)
-    return _WRITTEN[key]
+        made = schema.publish(root) if models is None else schema.publish(root, models)
+        _WRITTEN[key] = (state, made)
+    return _WRITTEN[key][1]
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,6 +260,24 @@ def export_simple(spark: SparkSession, folder: str) -> DataFrame:
     return export.export_simple(TrialTables(spark, folder).table("local"), "local")
 
 
+@query
+def export_simple_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, filled and different values of every column of all tables that are exported as they are."""
+    trial, parts = TrialTables(spark, folder), []
+    for name in SIMPLE_EXPORT_TABLES:
+        kept = export.export_simple(trial.table(name), name)
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in kept.columns]
+        long = kept.select(F.lit(name).alias("table_name"), F.inline(F.array(*cells)))
+        parts.append(
+            long.groupBy("table_name", "column_name").agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.count("value").alias("filled"),
+                F.count_distinct("value").alias("different"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def array_first(spark: SparkSession, folder: str) -> DataFrame:
     sales = TrialTables(spark, folder).mutation_dump()
@@ -381,6 +415,27 @@ def label_lookup(spark: SparkSession, folder: str) -> DataFrame:
     ).select("idmutation", "idnatmut", "nature_label")
 
 
+@query
+def label_lookup_local(spark: SparkSession, folder: str) -> DataFrame:
+    trial = TrialTables(spark, folder)
+    return lookups.label_lookup(
+        trial.table("local", ("iddispoloc", "codtyploc")),
+        trial.table("ann_type_local"),
+        "codtyploc", "libtyploc", "type_label",
+    ).select("iddispoloc", "codtyploc", "type_label")
+
+
+@query
+def address_join_parcel(spark: SparkSession, folder: str) -> DataFrame:
+    trial = TrialTables(spark, folder)
+    return lookups.address_join(
+        trial.table("disposition_parcelle", ("iddispopar",)),
+        trial.table("adresse_dispoparc"),
+        trial.table("adresse"),
+        "iddispopar",
+    ).select("iddispopar", "idadr", "codvoie", "typvoie", "novoie", "codepostal")
+
+
 @query
 def address_join(spark: SparkSession, folder: str) -> DataFrame:
     trial = TrialTables(spark, folder)

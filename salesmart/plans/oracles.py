@@ -14,9 +14,16 @@ from salesmart.sources.contracts import (
     PRINCIPAL_TABLES,
     RAW_COLUMNS,
     REFERENCE_TABLES,
+    SIMPLE_EXPORT_TABLES,
     SOURCE_TABLES,
 )
-from salesmart.sources.trial_tables import TRIAL_TABLES, boundary_oracle, oracle_with, raw_sql
+from salesmart.sources.trial_tables import (
+    TRIAL_TABLES,
+    boundary_oracle,
+    oracle_with,
+    raw_columns,
+    raw_sql,
+)
 
 _DATE = "CASE WHEN regexp_full_match(datemut, '\\d{4}-\\d{1,2}-\\d{1,2}') THEN TRY_CAST(datemut AS DATE) END"
 
@@ -392,6 +399,20 @@ def build() -> dict[str, str]:
             "SELECT m.idmutation, m.idnatmut, a.libnatmut AS nature_label FROM mutation m "
             "LEFT JOIN ann_nature_mutation a ON m.idnatmut = a.idnatmut",
             "mutation", "ann_nature_mutation"),
+        "label_lookup_local": oracle(
+            "SELECT l.iddispoloc, l.codtyploc, a.libtyploc AS type_label FROM local_ l "
+            "LEFT JOIN ann_type_local a ON l.codtyploc = a.codtyploc", "local", "ann_type_local"),
+        "address_join_parcel": oracle(
+            "SELECT p.iddispopar, x.idadr, a.codvoie, a.typvoie, a.novoie, a.codepostal "
+            "FROM disposition_parcelle p JOIN adresse_dispoparc x ON p.iddispopar = x.iddispopar "
+            "LEFT JOIN adresse a ON x.idadr = a.idadr",
+            "disposition_parcelle", "adresse_dispoparc", "adresse"),
+        "export_simple_columns": oracle(
+            "\nUNION ALL ".join(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, "
+                f"count({c}) AS filled, count(DISTINCT {c}) AS different FROM {'local_' if t == 'local' else t}"
+                for t in SIMPLE_EXPORT_TABLES for c in raw_columns(t)
+            ), *SIMPLE_EXPORT_TABLES),
         "address_join": oracle(
             "SELECT l.iddispoloc, x.idadr, a.codvoie, a.typvoie, a.novoie, a.codepostal FROM local_ l "
             "JOIN adresse_local x ON l.iddispoloc = x.iddispoloc LEFT JOIN adresse a ON x.idadr = a.idadr",

@@ -309,6 +309,11 @@ _LAYOUT: dict[str, tuple[dict[str, str], str, str]] = {
 }
 
 
+def raw_columns(table: str) -> list[str]:
+    """Columns of one raw table."""
+    return list(_LAYOUT[table][0])
+
+
 def raw_sql(table: str, columns: Iterable[str] | None = None) -> str:
     """SELECT text of one raw table with ``{table}`` marks for the trial tables."""
     expressions, rows, where = _LAYOUT[table]
