@@ -12,7 +12,7 @@ from salesmart.operators import export, quality
 from salesmart.operators.lookups import first_of_key
 from salesmart.plans.starschema import FolderSource, StarSchema
 from salesmart.sinks import tables as sinks
-from salesmart.sources.contracts import REFERENCE_KEYS, SOURCE_TABLES, YEAR_COLUMN, YEAR_RANGE
+from salesmart.sources.contracts import RAW_COLUMNS, REFERENCE_KEYS, YEAR_COLUMN, YEAR_RANGE
 from salesmart.sources.copy_dump import CopyDump
 from salesmart.sources.csv_files import scan_csv_chunks
 from salesmart.sources.geojson import scan_geojson_folder
@@ -34,7 +34,7 @@ def exported(
         if name in special
         else export.export_simple(df, name, departments)
         for name, df in tables.items()
-        if name in SOURCE_TABLES
+        if name in RAW_COLUMNS
     }
     return {
         name: first_of_key(df, REFERENCE_KEYS[name]) if name in REFERENCE_KEYS else df

@@ -28,6 +28,32 @@ def _reader(spark: SparkSession, multiline: bool):
     )
 
 
+def _split_by_line_breaks(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    """Files whose quoted fields hold line breaks, and the others.
+
+    Such a file has a line with an odd number of quotes; the pass over the lines is split like any
+    text. Only file names reach the driver.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .text(path)
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("file")).distinct()
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+        .select("path", F.col("_metadata.file_path").alias("file"))
+    )
+    marked = listing.join(broken.withColumn("whole", F.lit(True)), "file", "left")
+    found = [(r.path, bool(r.whole)) for r in marked.select("path", "whole").toLocalIterator()]
+    return [p for p, whole in found if whole], [p for p, whole in found if not whole]
+
+
 def scan_csv_table(
     spark: SparkSession,
     path: str | list[str],
@@ -38,12 +64,22 @@ def scan_csv_table(
     """All files of one table below ``path``.
 
     Column names come from the header of the first file; a file whose header differs in names or
-    order is an error, since CSV fields bind by position. ``multiline`` allows quoted line breaks
-    at the price of one task per file, so it is on by default only for tables that need it.
+    order is an error, since CSV fields bind by position. Quoted line breaks cost one task per
+    file: ``multiline`` allows or forbids them for all files; by default the tables that may hold
+    them are looked through, and only the files that do are read whole.
     """
-    if multiline is None:
-        multiline = table in MULTILINE_TABLES
-    reader = _reader(spark, multiline)
+    if multiline is None and table in MULTILINE_TABLES:
+        whole, split = _split_by_line_breaks(spark, path)
+        if whole and split:
+            parts = [
+                scan_csv_table(spark, files, table, kind, lineage)
+                for files, kind in ((whole, True), (split, False))
+            ]
+            if parts[0].columns != parts[1].columns:
+                raise ValueError(f"CSV headers of {table} differ: {parts[0].columns}, {parts[1].columns}")
+            return parts[1].union(parts[0])
+        multiline = bool(whole)
+    reader = _reader(spark, bool(multiline))
     columns = reader.csv(path).columns
     df = (
         reader.schema(text_schema(columns))

@@ -302,3 +302,18 @@ def test_reference_rows_once_per_key(spark):
     rows = spark.createDataFrame([("1",), ("2",), ("3",)], "k string")
     got = sorted(map(tuple, lookups.label_lookup(rows, labels, "k", "l", "label").collect()))
     assert got == [("1", "House"), ("2", None), ("3", None)]
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "adresse"
+    folder.mkdir()
+    (folder / "a.csv").write_text("idadr,voie\n" + "".join(f"{i},street\n" for i in range(3000)))
+    (folder / "b.csv").write_text('idadr,voie\nx,"two\nlines"\ny,"say ""no"""\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        df = scan_csv_table(spark, str(folder), "adresse", lineage=True)
+        rows = {r.idadr: r.voie for r in df.collect()}
+        assert len(rows) == 3002 and rows["x"] == "two\nlines" and rows["y"] == 'say "no"'
+        assert df.filter(F.col("source_file").endswith("a.csv")).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
