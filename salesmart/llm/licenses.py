@@ -112,52 +112,65 @@ def _shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
 
 
-def _signature(shingles: Column, n: int) -> Column:
+def _signature(shingles: Column, n: Column) -> Column:
     """(band, value) of ``n`` one-row bands."""
     hashes = F.transform(shingles, lambda s: F.xxhash64(s))
     return F.transform(
-        F.sequence(F.lit(1), F.lit(n)), lambda k: F.struct(k.alias("band"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, k))).alias("value"))
+        F.sequence(F.lit(1), n), lambda k: F.struct(k.alias("band"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, k))).alias("value"))
     )
 
 
-def _template_rows(spark: SparkSession, own: list[Template], n: int) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(t.name).alias("license"), F.array(*map(F.lit, t.words)).alias("words"), F.lit(t.needed).alias("needed")) for t in own])
+def _classes(every: list[Template]) -> list[tuple[int, int, int, list[str]]]:
+    """(length, step, bands, anchors) of each window length that a template uses."""
+    out = []
+    for length, step in LENGTHS:
+        own = [t for t in every if t.window == (length, step)]
+        if own:
+            out.append((length, step, bands(own), sorted(set().union(*[t.anchors for t in own]))))
+    return out
+
+
+def _template_rows(spark: SparkSession, every: list[Template]) -> DataFrame:
+    """(length, band, value, license, needed, wanted): signatures of the templates."""
+    count = {length: n for length, _, n, _ in _classes(every)}
+    rows = F.array(*[
+        F.struct(
+            F.lit(t.name).alias("license"), F.array(*map(F.lit, t.words)).alias("words"), F.lit(t.needed).alias("needed"),
+            F.lit(t.window[0]).alias("length"), F.lit(count[t.window[0]]).alias("bands"),
+        )
+        for t in every
+    ])
     return (
         spark.range(1).select(F.inline(rows)).withColumn("wanted", _shingles(F.col("words")))
-        .select("license", "needed", "wanted", F.inline(_signature(F.col("wanted"), n)))
+        .select("license", "needed", "wanted", "length", F.inline(_signature(F.col("wanted"), F.col("bands"))))
     )
 
 
 def matches(docs: DataFrame, texts: dict[str, str] | None = None) -> DataFrame:
     """(doc_id, license): templates that a window of the document contains, once each."""
     every = templates(texts or TEMPLATES)
-    lowered = F.lower("text")
-    anchors = sorted(set().union(*[t.anchors for t in every]))
-    some = F.lit(False)
-    for word in anchors:
+    classes = _classes(every)
+    lowered, some = F.lower("text"), F.lit(False)
+    for word in sorted({w for *_, anchors in classes for w in anchors}):
         some = some | lowered.contains(word)
     likely = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").where(some)
     worded = likely.select("doc_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= SHINGLE)
-    found = None
-    for length, step in LENGTHS:
-        own = [t for t in every if t.window == (length, step)]
-        if not own:
-            continue
-        n = bands(own)
-        own_anchors = F.array(*map(F.lit, sorted(set().union(*[t.anchors for t in own]))))
-        starts = F.sequence(F.lit(0), F.size("words") - SHINGLE, F.lit(step))
-        windows = (
-            worded.where(F.arrays_overlap("words", own_anchors))
-            .select("doc_id", "words", F.explode(starts).alias("at"))
-            .select("doc_id", F.slice("words", F.col("at") + 1, length).alias("part"))
-            .where(F.arrays_overlap("part", own_anchors))
-            .select("doc_id", _shingles(F.col("part")).alias("has"))
-        )
-        banded = windows.select("doc_id", "has", F.inline(_signature(F.col("has"), n)))
-        met = banded.join(_template_rows(docs.sparkSession, own, n), ["band", "value"])
-        part = met.where(F.size(F.array_intersect("has", "wanted")) >= F.col("needed")).select("doc_id", "license").distinct()
-        found = part if found is None else found.unionByName(part)
-    return found.distinct()
+    # every window length in one pass over the texts
+    lengths = F.array(*[
+        F.struct(F.lit(n).alias("length"), F.lit(step).alias("step"), F.lit(b).alias("bands"), F.array(*map(F.lit, anchors)).alias("anchors"))
+        for n, step, b, anchors in classes
+    ])
+    windows = (
+        worded.select("doc_id", "words", F.inline(lengths))
+        .where(F.arrays_overlap("words", "anchors"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.size("words") - SHINGLE, F.col("step"))).alias("at"))
+        .select("doc_id", "length", "bands", "anchors", F.slice("words", F.col("at") + 1, F.col("length")).alias("part"))
+        .where(F.arrays_overlap("part", "anchors"))
+        .select("doc_id", "length", "bands", _shingles(F.col("part")).alias("has"))
+    )
+    banded = windows.select("doc_id", "length", "has", F.inline(_signature(F.col("has"), F.col("bands"))))
+    met = banded.join(_template_rows(docs.sparkSession, every), ["length", "band", "value"])
+    return met.where(F.size(F.array_intersect("has", "wanted")) >= F.col("needed")).select("doc_id", "license").distinct()
 
 
 def scan(docs: DataFrame, texts: dict[str, str] | None = None) -> DataFrame:
