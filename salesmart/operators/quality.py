@@ -397,3 +397,32 @@ def dq_expected_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def documented_report(models: Mapping[str, DataFrame]) -> DataFrame:
+    """The documented rules over written models, in the shape of ``dq_report``; none stops a run,
+    since a build of some departments breaks the coverage rules by design."""
+    sales, communes = models["stg_mutations"], models["stg_geo_communes"]
+    bounds = dq_date_range(sales, "transaction_date").select(F.col("outside") + F.col("missing"))
+    count = F.count(F.lit(1))
+    rules = (
+        ("stg_mutations", "transaction_date", "date_range", bounds),
+        ("stg_mutations", "transaction_year", "year_range", dq_year_range(sales, "transaction_year")),
+        ("stg_mutations", "department_code", "department_codes", dq_department_codes(sales).agg(F.coalesce(F.sum("row_count"), F.lit(0)))),
+        ("stg_mutations", "property_type_code", "type_not_null", dq_type_not_null(sales).select("failures")),
+        ("stg_geo_departments", "department_code", "all_departments", dq_missing_departments(models["stg_geo_departments"]).agg(count)),
+        ("stg_geo_communes", "commune_code", "commune_coverage", dq_coverage(models["stg_parcelles"], "commune_code", communes, "commune_code").filter("gap = 'not_official'").agg(count)),
+        *(
+            (name, "*", "min_features", models[name].agg(F.greatest(F.lit(least) - count, F.lit(0))))
+            for name, least in (("stg_geo_departments", MINIMUM_FEATURES["geo_departments"]), ("stg_geo_communes", MINIMUM_FEATURES["geo_communes"]))
+        ),
+    )
+    parts = [
+        failures.toDF("failures").select(
+            F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(test).alias("test"),
+            F.lit("warn").alias("severity"), F.col("failures").cast("long").alias("failures"),
+            F.when(F.col("failures") == 0, "pass").otherwise("warn").alias("status"),
+        )
+        for model, column, test, failures in rules
+    ]
+    return reduce(DataFrame.unionByName, parts)

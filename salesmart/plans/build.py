@@ -64,13 +64,15 @@ def write_raw(
 
 
 def publish_checked(spark: SparkSession, raw: str, root: str) -> dict[str, DataFrame]:
-    """Star schema from a raw layer, with its quality report written beside it.
+    """Star schema from a raw layer, with its quality report (declared tests and documented rules)
+    written beside it.
 
     A failing check of severity ``error`` stops the run after the report is written.
     """
     models = StarSchema(spark, FolderSource(spark, raw)).publish(root)
     path = f"{root}/dq_report"
-    sinks.write_truncate(quality.dq_report(models), path)
+    checks = quality.dq_report(models).unionByName(quality.documented_report(models))
+    sinks.write_truncate(checks, path)
     report = spark.read.parquet(path)
     quality.stop_on_error(report)
     return {**models, "dq_report": report}

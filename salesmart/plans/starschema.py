@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import enrich, marts, staging
 from salesmart.sinks import tables as sinks
-from salesmart.sources.contracts import STAGED_FROM
+from salesmart.sources.contracts import CALENDAR_RANGE, STAGED_FROM
 
 # Child columns the enriched sale needs.
 CHILD_COLUMNS = {
@@ -29,6 +29,10 @@ LAYERS = (
     ("fct_transactions", "dim_communes", "dim_property_types", "dim_dates", "dim_geography"),
 )
 MODELS = tuple(name for layer in LAYERS for name in layer)
+LAYER_NAMES = ("staging", "intermediate", "marts")
+LAYER_KINDS = {"staging": "view", "intermediate": "view", "marts": "table"}
+DEFAULT_NAMESPACE = "dvf_staging"
+NAMESPACES: dict[str, str | None] = {"staging": None, "intermediate": None, "marts": "dvf_analytics"}
 PARALLEL_WRITES = 4
 
 
@@ -65,9 +69,16 @@ class FolderSource:
 class StarSchema:
     """Each method builds one model; nothing runs until a result is asked for."""
 
-    def __init__(self, spark: SparkSession, source: RawSource):
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: RawSource,
+        calendar: tuple[str, str] | None = CALENDAR_RANGE,
+    ):
+        """``calendar`` bounds the date dimension, ``[first, past)``; None: the years with sales."""
         self.spark = spark
         self.source = source
+        self.calendar = calendar
 
     def staged(self, model: str, columns: Iterable[str] | None = None) -> DataFrame:
         """Staging columns of a model before its row filter, from just the raw columns needed."""
@@ -122,7 +133,9 @@ class StarSchema:
         )
 
     def dim_dates(self) -> DataFrame:
-        return marts.dim_dates(marts.date_spine(self.spark))
+        if self.calendar:
+            return marts.dim_dates(marts.date_spine(self.spark, *self.calendar))
+        return marts.dim_dates(marts.date_spine_covering(self.stg_mutations(("transaction_year",))))
 
     def dim_geography(self) -> DataFrame:
         return marts.dim_geography(self.stg_geo_departments(), self.stg_geo_communes())
@@ -146,11 +159,42 @@ class StarSchema:
         return {name: written.read(name) for name in written.done}
 
 
+def register_models(
+    spark: SparkSession,
+    root: str,
+    models: Iterable[str] = MODELS,
+    default: str = DEFAULT_NAMESPACE,
+    namespaces: Mapping[str, str | None] = NAMESPACES,
+    kinds: Mapping[str, str] = LAYER_KINDS,
+) -> dict[str, str]:
+    """Enter the models written below ``root`` into the catalog; returns the name of each.
+
+    A layer's own namespace is used verbatim, without one the default. Staging and intermediate
+    models are views over their folder, marts are tables at their place. Models written again
+    keep their entry; the fact's partitions are looked up anew.
+    """
+    names, wanted = {}, set(models)
+    for layer, members in zip(LAYER_NAMES, LAYERS, strict=True):
+        space = (namespaces.get(layer) or default).strip()
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{space}`")
+        for model in (m for m in members if m in wanted):
+            name, place = f"`{space}`.`{model}`", f"{root.rstrip('/')}/{model}"
+            if kinds[layer] == "view":
+                spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{place}`")
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
+                spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{place}'")
+                if sinks.YEAR_BUCKET in spark.table(name).columns:
+                    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            names[model] = f"{space}.{model}"
+    return names
+
+
 class WrittenModels(StarSchema):
     """Star schema that reads an upstream model from its table once that is written."""
 
     def __init__(self, spark: SparkSession, root: str, base: StarSchema):
-        super().__init__(spark, base.source)
+        super().__init__(spark, base.source, base.calendar)
         self.root = root.rstrip("/")
         self.done: set[str] = set()
 
