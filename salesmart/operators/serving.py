@@ -133,7 +133,13 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """
     known = df.filter(F.col(value).isNotNull())
     counted = known.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    band = F.when(F.col(value) > 0, F.floor(F.log(F.col(value)) * 1024)).otherwise(F.lit(-(2**31)))
+    # finite doubles have logarithms within 746 of zero, so the three ranges of bands are apart
+    size = F.floor(F.log(F.abs(F.col(value))) * 1024)
+    band = (
+        F.when(F.col(value) > 0, size)
+        .when(F.col(value) < 0, F.lit(-(2**31)) - size)
+        .otherwise(F.lit(-(2**30)))
+    )
     counted = counted.withColumn("band", band)
 
     by_band = W.partitionBy(group).orderBy("band").rowsBetween(W.unboundedPreceding, -1)

@@ -35,6 +35,7 @@ from salesmart.sources.contracts import ARRAY_PREFIX, DUMP_TABLE_PREFIX, GEOMETR
 BLOCK_HEADER = r"^COPY (\w+)\.(\w+) \(([^)\t]*)\) FROM stdin;$"
 BLOCK_END = r"\."
 NULL_FIELD = r"\N"
+_BYTE_ESCAPE = r"\\(?:[0-7]|x[0-9A-Fa-f])"
 _LIKE_HEADER = r"^COPY .* FROM stdin;\s*$"
 ESCAPES = {r"\b": "\b", r"\f": "\f", r"\n": "\n", r"\r": "\r", r"\t": "\t", r"\v": "\v"}
 
@@ -45,11 +46,16 @@ _CARRIED = -1  # id of "same block as the end of the previous split"
 
 
 def unescape(field: Column) -> Column:
-    r"""COPY text escapes. Splitting at ``\\`` first leaves only unambiguous escapes in the parts."""
+    r"""COPY text escapes. Splitting at ``\\`` first leaves only unambiguous escapes in the parts.
+
+    Escapes by byte number (``\x41``, ``\101``), which dumps do not write, are an error.
+    """
     def plain(part: Column) -> Column:
+        text = part
         for mark, char in ESCAPES.items():
-            part = F.replace(part, F.lit(mark), F.lit(char))
-        return part
+            text = F.replace(text, F.lit(mark), F.lit(char))
+        odd = F.raise_error(F.concat(F.lit("escape by byte number in a dump: "), part)).cast("string")
+        return F.when(part.rlike(_BYTE_ESCAPE), odd).otherwise(text)
 
     parts = F.transform(F.split(field, r"\\\\"), plain)
     text = F.when(F.contains(field, F.lit("\\")), F.array_join(parts, "\\")).otherwise(field)

@@ -317,3 +317,22 @@ def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
         assert df.filter(F.col("source_file").endswith("a.csv")).rdd.getNumPartitions() > 3
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", [r"\x41", r"a\101b"])
+def test_byte_escapes_are_an_error(spark, text):
+    with pytest.raises(Exception, match="byte number"):
+        spark.createDataFrame([(text,)], "v string").select(unescape(F.col("v"))).collect()
+
+
+def test_median_of_negative_and_zero_values(spark):
+    import statistics
+
+    from salesmart.operators import serving
+
+    r = random.Random(7)
+    rows = [(g, v) for g in ("a", "b", "c") for v in [r.uniform(-1e6, 1e6) for _ in range(301)] + [0.0] * 20 + [-0.001, 1e-9, -5e8]]
+    rows += [("neg", float(-k)) for k in range(1, 12)] + [("none", None)]
+    got = {x.g: x.m for x in serving.exact_median(spark.createDataFrame(rows, "g string, v double"), "g", "v", "m").collect()}
+    want = {g: round(statistics.median([v for h, v in rows if h == g and v is not None]), 4) for g in ("a", "b", "c", "neg")}
+    assert got == pytest.approx(want)
