@@ -31,8 +31,8 @@ LAYERS = (
 MODELS = tuple(name for layer in LAYERS for name in layer)
 LAYER_NAMES = ("staging", "intermediate", "marts")
 LAYER_KINDS = {"staging": "view", "intermediate": "view", "marts": "table"}
-DEFAULT_NAMESPACE = "dvf_staging"
-NAMESPACES: dict[str, str | None] = {"staging": None, "intermediate": None, "marts": "dvf_analytics"}
+DEFAULT_NAMESPACE = "staging"
+NAMESPACES: dict[str, str | None] = {"staging": None, "intermediate": None, "marts": "analytics"}
 PARALLEL_WRITES = 4
 
 
