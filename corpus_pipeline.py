@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, line_dedup, packing, quality, simhash
+from salesmart.llm import decontaminate, line_dedup, near_copies, packing, quality, simhash
+from salesmart.llm.components import stored
 from salesmart.llm.texts import table
 from salesmart.llm.tokens import default_tokenizer
 from salesmart.session import new_folder
@@ -33,9 +34,16 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate group."""
+    """The first document of each near-duplicate group.
+
+    Groups are those of ``simhash`` first. Among their first documents ``near_copies`` then finds those
+    that share 0.8 of their five-word shingles with another, which fingerprints two bits apart do
+    not reach.
+    """
     first = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(first, F.col("doc_id") == F.col("__kept"), "left_semi")
+    kept = stored(docs.join(first, F.col("doc_id") == F.col("__kept"), "left_semi"), "one-of-group")
+    gone = near_copies.superseded(kept).select(F.col("doc_id").alias("__gone"))
+    return kept.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
