@@ -34,16 +34,23 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate group.
+    """The first document of each near-duplicate group, in one row; rows without an id all stay.
 
-    Groups are those of ``simhash`` first. Among their first documents ``near_copies`` then finds those
-    that share 0.8 of their five-word shingles with another, which fingerprints two bits apart do
-    not reach.
+    Groups are those of ``simhash`` first. Of the rows that repeat a kept id, the one whose text has
+    the smallest hash stays. Among these documents ``near_copies`` then finds those that share 0.8
+    of their five-word shingles with another, which fingerprints two bits apart do not reach.
     """
-    first = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = stored(docs.join(first, F.col("doc_id") == F.col("__kept"), "left_semi"), "one-of-group")
+    names, own = docs.columns, docs.withColumn("__id", F.col("doc_id").cast("long"))
+    first = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = own.join(first, "__id", "left_semi")
+    twice = stored(own.where("__id IS NOT NULL").groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"), "repeated-ids")
+    if not twice.isEmpty():
+        order = F.struct(F.xxhash64("text"), F.xxhash64(*names))
+        repeated = kept.join(twice, "__id", "left_semi").groupBy("__id").agg(F.min_by(F.struct(*names), order).alias("__row"))
+        kept = kept.join(twice, "__id", "left_anti").select(*names).unionByName(repeated.select("__row.*"))
+    kept = stored(kept.select(*names), "one-of-group")
     gone = near_copies.superseded(kept).select(F.col("doc_id").alias("__gone"))
-    return kept.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return kept.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti").unionByName(docs.where(F.col("doc_id").cast("long").isNull()))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

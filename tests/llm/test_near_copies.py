@@ -53,3 +53,16 @@ def test_stage_drops_near_copies_of_a_single_line(spark, sf):
     out = corpus_pipeline.keep_one_of_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
     left = {r.doc_id: r.text for r in out.collect()}
     assert not [(a, b) for a in left for b in left if a < b and jaccard(left[a], left[b]) >= 0.8]
+
+
+def test_stage_keeps_rows_without_id_and_one_row_per_id(spark, sf, odd_docs):
+    rows = odd_docs.unionByName(odd_docs.where("doc_id IS NULL OR doc_id IN (-9, 6)"))
+    out = corpus_pipeline.keep_one_of_group(spark, rows, sf)
+    assert out.columns == odd_docs.columns
+    ids = sorted([r.doc_id for r in out.collect()], key=str)
+    # 5 repeats the text of 1; 3 and 4 are empty like 2
+    assert ids == sorted([-9, 1, 2, 6, 7, 8, None, None], key=str)
+    other = spark.createDataFrame([(1, "b b c d e f g"), (1, "a b c d e f g h"), (1, "b b c d e f g"), (None, None)], "doc_id int, text string")
+    once = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_group(spark, other, sf).collect()]
+    again = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_group(spark, other.orderBy("text"), sf).collect()]
+    assert sorted(once, key=str) == sorted(again, key=str) and len(once) == 2 and (None, None) in once
