@@ -3,7 +3,8 @@
 Only DataFrame functions. A rule fits its host and all subdomains if the path starts with the
 rule's path; the longest rule wins. Where no rule fits, the host decides: personalised PageRank
 spreads trust from trusted seed hosts along links, and distrust from blocked seed hosts against
-them (who links to a blocked host is suspect). A host is a trusted seed if rules allow more of its
+them (who links to a blocked host is suspect). Rounds go on until what they could still add to any
+host is below ``REST``, far less than the margin, however long the ways and however many the seeds. A host is a trusted seed if rules allow more of its
 pages than they block, and a blocked seed if rules block more than half of all its pages. It is
 blocked if its distrust exceeds its trust by ``MARGIN`` or more, else allowed; so a host without
 any evidence is allowed.
@@ -26,6 +27,7 @@ from salesmart.llm.components import stored
 DAMPING = 0.85
 ROUNDS = 10
 MARGIN = 0.05
+REST = 1e-6
 STORE_EVERY = 5
 # Rules become one expression, so their number is bounded.
 MOST_RULES = 1000
@@ -89,10 +91,11 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def host_scores(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def host_scores(seeds: DataFrame, links: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING, rest: float = REST) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) by personalised PageRank.
 
     Seeds give their weight anew in each round; what reaches a host without links onward ends there.
+    Without ``rounds`` they go on until all later ones together add less than ``rest`` to a host.
     """
     start = seeds.select("host", F.expr("stack(2, 'trust', trust, 'distrust', distrust) AS (kind, seed)")).where("seed > 0")
     start = stored(start, "host-seeds")
@@ -101,16 +104,27 @@ def host_scores(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, dampin
     )
     out = ways.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     ways = stored(ways.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("share")), "host-ways")
-    given = start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
-    scores = given
-    if not ways.isEmpty():
-        for k in range(rounds):
-            sent = ways.join(scores.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-                "kind", F.col("dst").alias("host"), (F.col("share") * F.col("score") * damping).alias("score")
-            )
-            scores = given.unionByName(sent).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-            if k % STORE_EVERY == STORE_EVERY - 1:
-                scores = stored(scores, "host-scores")
+    # new: what the last round brought, part of the score; the next round sends this on alone
+    given = F.col("seed") * (1 - damping)
+    scores = start.select("kind", "host", given.alias("score"), given.alias("new"))
+    done = 0
+    if ways.isEmpty():
+        rounds = 0
+    while rounds is None or done < rounds:
+        sent = ways.join(scores.where("new > 0").select("kind", F.col("host").alias("src"), "new"), ["kind", "src"]).select(
+            "kind", F.col("dst").alias("host"), (F.col("share") * F.col("new") * damping).alias("score")
+        )
+        scores = (
+            scores.withColumn("new", F.lit(0.0)).unionByName(sent.withColumn("new", F.col("score")))
+            .groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("new").alias("new"))
+        )
+        done += 1
+        if done % STORE_EVERY == 0:
+            scores = stored(scores, "host-scores")
+            # a round sends on at most ``damping`` of what the one before brought
+            most = scores.groupBy("kind").agg(F.sum("new").alias("new")).agg(F.max("new")).first()[0] or 0.0
+            if rounds is None and most * damping / (1 - damping) < rest:
+                break
     value = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
     return scores.groupBy("host").agg(value("trust"), value("distrust"))
 
@@ -124,7 +138,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, margin: float = MAR
     hosts = ruled.where("host <> ''").groupBy("host").agg(
         (allowed > blocked).cast("double").alias("trust"), (blocked * 2 > F.count("*")).cast("double").alias("distrust")
     )
-    scores = host_scores(hosts, host_links(own))
+    scores = host_scores(hosts, host_links(own), rounds=None)
     suspect = scores.where(F.col("distrust") - F.col("trust") >= margin).select("host", F.lit("block").alias("spread"))
     return ruled.join(suspect, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "spread", F.lit("allow")).alias("verdict")

@@ -141,6 +141,22 @@ def test_page_rank_by_hand(spark):
         assert all(abs(got.get(n, (0, 0))[side] - score[n]) < 1e-9 for n in names)
 
 
+def test_distrust_goes_as_far_as_it_exceeds_the_margin(spark):
+    rows = [(k, f"http://bad{k}.net/es/1", "") for k in range(40)]
+    rows += [(100 + k, "http://far1.org/1", HTML.format(f"http://bad{k}.net/")) for k in range(40)]
+    rows += [(200 + k, f"http://far{k}.org/1", HTML.format(f"http://far{k - 1}.org/")) for k in range(2, 33)]
+    got = {r.host: r.verdict for r in url_filter.judge(pages(spark, rows)).collect()}
+    want = {f"far{k}.org": "block" if 40 * 0.15 * 0.85**k >= url_filter.MARGIN else "allow" for k in range(1, 33)}
+    assert {h: v for h, v in got.items() if h in want} == want and want["far11.org"] == "block" and "allow" in want.values()
+
+
+def test_cycles_get_all_their_score(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, trust double, distrust double")
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    got = {r.host: r.trust for r in url_filter.host_scores(seeds, links, rounds=None).collect()}
+    assert abs(got["a"] - 0.15 / (1 - 0.85**2)) < 1e-6 and abs(got["b"] - 0.85 * got["a"]) < 1e-6
+
+
 def containment(text, template):
     import re
 
