@@ -7,7 +7,9 @@ is one window. The windows' 64-bit hashes are broadcast while their measured siz
 a hash hit counts only once the words themselves are compared.
 
 Null and empty texts have no words and are never hit. Repeated benchmark items hit under each of
-their ids; a repeated document row gives a repeated result row. An empty benchmark hits nothing.
+their ids; those without an id hit like any other, count as one item together and give no name to
+the hash of the ids. A repeated document row gives a repeated result row. An empty benchmark hits
+nothing.
 """
 
 from __future__ import annotations
@@ -127,7 +129,10 @@ class WindowSet:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(width, hash, window, items): distinct windows of the benchmark with the ids that hold them."""
+    """(width, hash, window, items): distinct windows of the benchmark with the ids that hold them.
+
+    ``items`` ends with a null where an item without an id holds the window.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -143,9 +148,11 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
                 ["width", "hash", "window", "item"],
             )
 
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     rows = items.mapInArrow(cut, "width int, hash long, window binary, item string")
-    return rows.groupBy("width", "hash", "window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    named = F.array_sort(F.collect_set("item"))
+    unnamed = F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return rows.groupBy("width", "hash", "window").agg(F.concat(named, unnamed).alias("items"))
 
 
 def _by_broadcast(docs: DataFrame, windows: DataFrame, scan, schema: str) -> DataFrame:
@@ -216,7 +223,7 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, limit: int =
             items[int(np.searchsorted(words.first, place, "right")) - 1].update(ids)
         hit = np.concatenate(([0], np.cumsum(np.cumsum(cover[:-1]) > 0)))
         n_hit = hit[words.first[1:]] - hit[words.first[:-1]]
-        sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
+        sha = [hashlib.sha256(",".join(sorted(x - {None})).encode()).hexdigest() for x in items]
         return pa.RecordBatch.from_arrays(
             [column(batch, "doc_id"), pa.array(np.diff(words.first)), pa.array(n_hit), pa.array([len(x) for x in items], pa.int64()), pa.array(sha), pa.array(n_hit > 0)],
             ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],

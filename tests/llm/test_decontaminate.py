@@ -78,3 +78,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert decontaminate.find(no_docs, bench).collect() == []
     none = bench.where("1 = 0")
     assert not any(r.contaminated for r in decontaminate.find(odd_docs, none).collect())
+
+
+@pytest.mark.parametrize("limit", [10**8, -1])
+def test_items_without_an_id_hit_too(spark, limit):
+    nameless = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(None, nameless), (None, "red green blue"), (7, nameless)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {nameless} b"), (2, "red green blue"), (3, "red green")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.find(docs, items, limit=limit).collect()}
+    sha = lambda names: hashlib.sha256(names.encode()).hexdigest()
+    # as the SQL twin counts them: no id is one item more, without a name
+    assert got == {1: (10, 2, sha("7"), True), 2: (3, 1, sha(""), True), 3: (0, 0, sha(""), False)}
+    kept = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, items, limit=limit).collect()}
+    assert kept == {1: "a  b", 2: "", 3: "red green"}
