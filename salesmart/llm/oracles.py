@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import licenses, url_filter
+from salesmart.llm import collocations, licenses, queries, ranked_search, url_filter
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -147,5 +147,85 @@ def op10_host_trust() -> str:
     """
 
 
+def op11_chat_template() -> str:
+    def escape(x: str) -> str:
+        return f"regexp_replace({x}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+
+    role = escape("replace(replace(role, '\\', '\\\\'), chr(10), '\\n')")
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '{queries.FORGED}' UNION ALL SELECT -1, 1, 'assistant', '{queries.FORGED}'
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' {order}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length('<|im_start|>' || {role} || chr(10) || {escape("text")} || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+    """
+
+
+def op12_ranked_search() -> str:
+    terms = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, doc_id, {terms.format(_low("coalesce(text, '')"))} AS w FROM documents
+    ), size AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM docs WHERE len(w) > 0), wanted AS (
+        SELECT DISTINCT item_id, unnest({terms.format(_low("coalesce(text, '')"))}) AS term FROM benchmark
+    ), counted AS (
+        SELECT d, doc_id, n, term, count(*) AS tf
+        FROM (SELECT d, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM docs)
+        WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counted, size GROUP BY term, nn
+    ), scored AS (
+        SELECT item_id, d, doc_id,
+               CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll)))) AS BIGINT) AS score
+        FROM counted JOIN weights USING (term) JOIN wanted USING (term), size GROUP BY item_id, d, doc_id
+    ), ranked AS (
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.TOP}
+    """
+
+
+def op13_collocations() -> str:
+    longest = collocations.LONGEST
+    return f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex({_low("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+    ), words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces), placed AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+    ), grams AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM placed, range(1, {longest + 1}) AS t(k) WHERE i + k - 1 <= len(w)
+    ), f AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {collocations.LEAST}
+    ), totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang), candidates AS (
+        SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+    ), cuts AS (
+        SELECT c.lang, c.k, c.phrase, c.a, j, CAST(n AS BIGINT) AS n, x.a AS l, y.a AS r,
+               CAST(1000 * c.a::HUGEINT * n::HUGEINT // (x.a::HUGEINT * y.a::HUGEINT) AS BIGINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+        JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+        JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')
+        JOIN totals t ON t.lang = c.lang
+    ), best AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+    ), inner_ones AS (
+        SELECT DISTINCT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM candidates, range(2, {longest}) AS t(m), range(1, {longest + 1}) AS u(s) WHERE m < k AND s + m - 1 <= k GROUP BY ALL
+    ), kept AS (
+        SELECT b.* FROM best b LEFT JOIN inner_ones i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 100 * b.a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+    ) WHERE rank <= {collocations.TOP}
+    """
+
+
 def build() -> dict[str, str]:
-    return {f.__name__: f() for f in (op2_line_dedup, op5_decontaminate, op6_license_minhash, op10_host_trust)}
+    own = (op2_line_dedup, op5_decontaminate, op6_license_minhash, op10_host_trust, op11_chat_template, op12_ranked_search, op13_collocations)
+    return {f.__name__: f() for f in own}

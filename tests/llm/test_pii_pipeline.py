@@ -100,7 +100,7 @@ def test_pii_of_the_table(spark, sf):
 
 def test_registered():
     names = entry_module.queries()
-    assert {n.split("_")[0] for n in queries.REGISTRY} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.REGISTRY} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.REGISTRY) | {"pipeline"} <= set(names)
     assert set(oracles.build()) <= set(queries.REGISTRY)
 
