@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from salesmart.llm.texts import column, keyed, slices
-from salesmart.llm.tokens import bpe_encoder
+from salesmart.llm.tokens import ENCODED_BYTES, bpe_encoder
 
 LENGTH = 1024
 SEGMENTS = 32
@@ -161,7 +161,7 @@ def pack_documents(
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, size=ENCODED_BYTES):
             docs_ = column(batch, "doc_id").to_pylist()
             for doc, raw in zip(docs_, encoder.encode(column(batch, "text").to_pylist()), strict=True):
                 ids[number] = (doc, raw + tail)

@@ -26,14 +26,14 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(c).cast("long").alias(c) if c == "doc_id" else F.col(c) for c in columns])
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of text."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string())
         ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        group = (ends[1:] - ends[0]) // SLICE_BYTES
+        group = (ends[1:] - ends[0]) // size
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:

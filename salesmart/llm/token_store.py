@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import simple8b
 from salesmart.llm.texts import column, keyed, slices
-from salesmart.llm.tokens import bpe_encoder
+from salesmart.llm.tokens import ENCODED_BYTES, bpe_encoder
 
 END = 2
 
@@ -39,7 +39,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
         encoder = bpe_encoder(tokenizer)
         part = TaskContext.get().partitionId()
         tail = np.array([end], "<u4").tobytes()
-        for chunk, batch in enumerate(slices(batches)):
+        for chunk, batch in enumerate(slices(batches, size=ENCODED_BYTES)):
             raw = [x + tail for x in encoder.encode(column(batch, "text").to_pylist())]
             ids = np.frombuffer(b"".join(raw), "<u4").astype(np.uint64)
             words, starts = simple8b.encode(ids)

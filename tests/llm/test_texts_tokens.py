@@ -12,7 +12,6 @@ from salesmart.llm.tokens import bpe_encoder, default_tokenizer
 @pytest.fixture(scope="module")
 def plain():
     model = Tokenizer.from_file(default_tokenizer())
-    model.encode_special_tokens = True
     return lambda text: model.encode(text, add_special_tokens=False).ids
 
 
@@ -23,7 +22,7 @@ def ids(text):
 @pytest.mark.parametrize(
     "text",
     ["a  b", "a   b", " a", "  a", "a ", "a  ", "a \nb", "a\n \nb", "\n b", "it's 'they're' don't", "a\x85 b", "a\xa0 b", "a\x1c \x1cb",
-     "word,\nNext.", "word,\n next", "w.\n\nx", "é,è.\nÜ", "<|endoftext|> x", "x²,½", "1,2.3 4", "漢字 かな", "..., a", "a.,\nB.", "", "ßẞ,", "a\tb \tc"],
+     "word,\nNext.", "word,\n next", "w.\n\nx", "é,è.\nÜ", "<|endoftext|> x", "see <|endoftext|> here", "a<|endoftext|>b, c", "a\x01 b", "w.,\nx.", "a.5 b,", "a. ", "a.\n", "É.\nÜ.x","x²,½", "1,2.3 4", "漢字 かな", "..., a", "a.,\nB.", "", "ßẞ,", "a\tb \tc"],
 )
 def test_pieces_give_the_ids_of_the_whole(plain, text):
     assert ids(text) == plain(text)
@@ -33,7 +32,6 @@ def test_pieces_give_the_ids_of_the_whole(plain, text):
 @given(st.text(st.sampled_from("abcé ÀX,.\n\t'12 s t-  漢"), max_size=60))
 def test_any_text(text):
     model = Tokenizer.from_file(default_tokenizer()) if not hasattr(test_any_text, "m") else test_any_text.m
-    model.encode_special_tokens = True
     test_any_text.m = model
     assert ids(text) == model.encode(text, add_special_tokens=False).ids
 

@@ -16,7 +16,6 @@ from salesmart.session import new_folder
 
 def encode(text):
     model = Tokenizer.from_file(default_tokenizer())
-    model.encode_special_tokens = True
     return model.encode(text or "", add_special_tokens=False).ids
 
 
