@@ -9,7 +9,7 @@ its last and without its first word are, so the next scan sends on only those wh
 in a bit filter of the frequent phrases one word shorter. The filter has a fixed size
 (``FILTER_BITS``); what it lets through in vain is counted and falls to the threshold, so the
 counts are exact, and a fuller filter only costs traffic. Counts are combined in the batch, in the
-task, and then by phrase.
+task, and then by phrase. Beyond pairs only stretches of frequent pairs are read again.
 
 The frequent phrases then lie in two streams of sorted ranges: by words (prefix order) and by words
 backwards (suffix order). In the first, the leading parts of a phrase stand just before it, so one
@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 FILTER_BITS = 2**26
+#: Bytes of text counted at once.
+GATHERED = 8_000_000
 #: Rows drawn for each range of a stream to find its bounds.
 DRAWN = 50
 
@@ -111,54 +114,115 @@ def _held(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((table[a >> np.uint64(6)] >> (a & np.uint64(63))) & (table[b >> np.uint64(6)] >> (b & np.uint64(63))) & one).astype(bool)
 
 
+def _tokens(text: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Word numbers in order, 0 for the end of a piece, and the words by number."""
+    joined = b"\xff " + text.translate(_PLAIN).replace(_STOP, b" \xff ") + b" \xff"  # a blank at an end would make an empty word
+    ends = pa.py_buffer(np.array([0, len(joined)], np.int64))
+    whole = pa.Array.from_buffers(pa.large_string(), 1, [None, ends, pa.py_buffer(joined)])
+    words = pc.ascii_split_whitespace(whole).values.dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary.view(pa.large_binary())  # the first word met is the mark
+
+
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """The texts joined by language, about ``GATHERED`` bytes at a time."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in slices(batches):
+        for lang, text in zip(column(batch, "lang").to_pylist(), encoded(column(batch, "text")), strict=True):
+            held.setdefault(lang, []).append(text)
+            size += len(text)
+        if size >= GATHERED:
+            yield from ((lang, _STOP.join(own)) for lang, own in held.items())
+            held, size = {}, 0
+    yield from ((lang, _STOP.join(own)) for lang, own in held.items())
+
+
+def _inside(ids: np.ndarray, width: int) -> np.ndarray:
+    """Whether the ``width`` words from a place on are of one piece."""
+    words = ids > 0
+    found = words[: max(0, len(ids) - width + 1)].copy()
+    for k in range(1, width):
+        found &= words[k : len(found) + k]
+    return found
+
+
+def _maybe_frequent(lang: str, ids: np.ndarray, words: pa.Array, width: int, table: np.ndarray, bits: int, hashes: _Hashes) -> np.ndarray:
+    """Whether the filter holds the phrase of ``width`` words from a place on."""
+    start = np.uint64(hashes[lang.encode()])
+    value = np.array([hashes[w] for w in words.to_pylist()], np.uint64)
+    parts = _grown(start, value)  # phrases of one word, by number
+    if width == 1:
+        return _held(table, parts, bits)[ids]
+    parts, value = parts[ids], value[ids]
+    for k in range(1, width):
+        parts = _grown(parts[:-1], value[k:])
+    return _held(table, parts, bits)
+
+
 def _counted(texts: DataFrame, width: int, shorter: np.ndarray | None, bits: int) -> DataFrame:
     """(lang, phrase, n) of the phrases of ``width`` words whose two shorter parts may be frequent."""
     shared = None if shorter is None else texts.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for batch in slices(batches):
-            langs = column(batch, "lang").to_pylist()
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(langs, encoded(column(batch, "text")), strict=True):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, own in by_lang.items():
-                words = _STOP.join(own).translate(_PLAIN).replace(_STOP, b" \xff ").split()
-                numbers: dict[bytes, int] = {_STOP: 0}
-                ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-                if len(ids) < width:
-                    continue
-                if width == 1:
-                    counts = np.bincount(ids, minlength=len(numbers))
-                    phrases, n = list(numbers)[1:], counts[1:]
-                else:
-                    # hashes of the phrases one word shorter, from every place
-                    value = np.array([hashes[w] for w in numbers], np.uint64)[ids]
-                    parts = np.full(len(ids), hashes[lang.encode()], np.uint64)
-                    for k in range(width - 1):
-                        parts = _grown(parts[: len(ids) - k], value[k:]) if not k else _grown(parts[:-1], value[k:])
-                    inside = ids > 0
-                    whole = inside[: len(ids) - width + 1].copy()
-                    for k in range(1, width):
-                        whole &= inside[k : len(ids) - width + 1 + k]
-                    good = _held(shared.value, parts, bits)
-                    at = np.flatnonzero(whole & good[:-1] & good[1:])
-                    if not len(at):
-                        continue
-                    code = ids[at]
-                    for k in range(1, width):  # numbers of distinct phrases so far, so they never outgrow 64 bits
-                        code = np.unique(code * len(numbers) + ids[at + k], return_inverse=True)[1].astype(np.int64)
-                    _, first, n = np.unique(code, return_index=True, return_counts=True)
-                    phrases = [b" ".join(words[i : i + width]) for i in at[first].tolist()]
-                if len(phrases):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))],
-                        ["lang", "phrase", "n"],
-                    )
+        for lang, text in _by_language(batches):
+            ids, words = _tokens(text)
+            ids = ids.astype(np.int64)
+            if len(ids) < width:
+                continue
+            at = _inside(ids, width)
+            if width > 1:
+                good = _maybe_frequent(lang, ids, words, width - 1, shared.value, bits, hashes)
+                at &= good[:-1] & good[1:]
+            at = np.flatnonzero(at)
+            code, most = ids[at], len(words)
+            for k in range(1, width):
+                if most > 2**62 // len(words):  # number the phrases so far, so that they fit 64 bits
+                    code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+                    most = len(code)
+                code, most = code * len(words) + ids[at + k], most * len(words)
+            _, first, n = np.unique(code, return_index=True, return_counts=True)
+            if len(n):
+                parts = [words.take(pa.array(ids[at[first] + k])) for k in range(width)]
+                phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if width > 1 else parts[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(n)), phrases.cast(pa.large_string()).cast(pa.string()), pa.array(n.astype(np.int64))], ["lang", "phrase", "n"]
+                )
 
     return texts.mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
+def _stretches(texts: DataFrame, pairs: np.ndarray, bits: int) -> DataFrame:
+    """(lang, text) with only the stretches of three words or more whose pairs may all be frequent: longer
+    frequent phrases lie in them, each occurrence in one."""
+    shared = texts.sparkSession.sparkContext.broadcast(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for lang, text in _by_language(batches):
+            ids, words = _tokens(text)
+            ids = ids.astype(np.int64)
+            if len(ids) < 3:
+                continue
+            good = _inside(ids, 2) & _maybe_frequent(lang, ids, words, 2, shared.value, bits, hashes)
+            kept = np.zeros(len(ids) + 1, bool)  # places in a stretch; one more place, not kept, follows
+            for k in range(3):
+                kept[k : len(good) - 1 + k] |= good[:-1] & good[1:]
+            ids = np.where(kept[:-1], ids, 0)
+            # a stretch also ends where the pair of its last word and the next one is not frequent
+            cut = np.zeros(len(ids), bool)
+            cut[1:] = (ids[1:] > 0) & (ids[:-1] > 0) & ~good
+            ids = np.insert(ids, np.flatnonzero(cut), 0)
+            ids = ids[(ids > 0) | np.append(ids[1:] > 0, False)]  # one mark between stretches is enough
+            marked = pa.concat_arrays([pa.array([b"."], pa.large_binary()), words[1:]])
+            if len(ids):
+                taken = pa.LargeListArray.from_arrays(pa.array([0, len(ids)], pa.int64()), marked.take(pa.array(ids)))
+                joined = pc.binary_join(taken, pa.scalar(b" ", pa.large_binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), joined.cast(pa.large_string()).cast(pa.string())], ["lang", "text"])
+
+    return texts.mapInArrow(run, "lang string, text string")
+
+
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of all phrases and words met ``least`` times or more, and (lang, n) of all words."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
@@ -167,7 +231,10 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     found = []
     for width in range(1, longest + 1):
         if width > 1:
-            counts = _counted(texts, width, _filter(found[-1], bits), bits)
+            shorter = _filter(found[-1], bits)
+            if width == 3:
+                texts = stored(_stretches(texts, shorter, bits), "phrase-stretches")
+            counts = _counted(texts, width, shorter, bits)
         found.append(stored(counts.where(F.col("n") >= least), "phrase-frequent"))
         if found[-1].isEmpty():
             break
