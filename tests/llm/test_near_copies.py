@@ -25,11 +25,11 @@ def copies(seed, n=60):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("stars", [0, 4])
-def test_no_two_near_copies_remain(spark, stars):
+@pytest.mark.parametrize("stars, cell", [(0, 512), (4, 512), (0, 2), (1, 3)])
+def test_no_two_near_copies_remain(spark, stars, cell):
     rows = copies(1) + [(1000, None), (1001, ""), (1002, "one two"), (1003, "One  two"), (1004, "three")]
     texts = {k: t or "" for k, t in rows}
-    gone = [r.doc_id for r in near_copies.superseded(spark.createDataFrame(rows, "doc_id long, text string"), stars=stars).collect()]
+    gone = [r.doc_id for r in near_copies.superseded(spark.createDataFrame(rows, "doc_id long, text string"), stars, cell).collect()]
     near = {(a, b) for a in texts for b in texts if a < b and jaccard(texts[a], texts[b]) >= 0.8}
     left = set(texts) - set(gone)
     assert len(near) > 30 and not [p for p in near if set(p) <= left]
@@ -48,6 +48,38 @@ def test_buckets_meet_as_often_as_promised():
     assert met == 400
 
 
+def test_sketches_agree_as_often_as_promised():
+    rng = np.random.default_rng(1)
+    agree = []
+    for _ in range(400):
+        h = rng.integers(0, 2**64, 180, np.uint64)
+        a, b = (near_copies.minima(x) >> np.uint64(48) for x in (np.sort(h[:162]), np.sort(h[18:])))
+        agree.append(int((a == b).sum()))
+    assert min(agree) >= near_copies.AGREE and abs(np.mean(agree) - 0.8 * 120) < 1.5
+
+
+def test_unlike_variants_of_one_text_are_not_paired(spark):
+    r = random.Random(9)
+    base = [f"w{r.randrange(5000)}" for _ in range(100)]
+    pairs = []
+    for n in (200, 400, 800):
+        rows = []
+        for k in range(n):
+            words = list(base)
+            for at in r.sample(range(100), 5):
+                words[at] = f"new{r.random()}"
+            rows.append((k, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        met = near_copies._buckets(docs)
+        pairs.append(near_copies._unlike(met, docs, near_copies.CELL).count())
+        if n == 200:
+            texts = dict(rows)
+            gone = {x.doc_id for x in near_copies.superseded(docs).collect()}
+            left = sorted(set(texts) - gone)
+            assert not [(a, b) for a in left for b in left if a < b and jaccard(texts[a], texts[b]) >= 0.8]
+    assert all(found <= n / 4 for found, n in zip(pairs, (200, 400, 800), strict=True))
+
+
 def test_stage_drops_near_copies_of_a_single_line(spark, sf):
     rows = copies(2)
     out = corpus_pipeline.keep_one_of_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
