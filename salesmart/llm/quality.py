@@ -182,14 +182,24 @@ def remainder(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> FactorisationMachine:
-    """Model from at most ``sample`` labelled rows outside the held-out fifth."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, y, text, n_chars) of at most ``sample`` labelled ids outside the held-out fifth, one row each.
+
+    Of rows that repeat an id, the one whose text has the smallest hash stands for it.
+    """
     known = (
         labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("quality").cast("int").alias("y"))
         .where(remainder() != 0)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
+    own = _inputs(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(known), "doc_id")
+    one = own.groupBy("doc_id").agg(F.min_by(F.struct("y", "text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars")).alias("row"))
+    return one.select("doc_id", "row.*")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> FactorisationMachine:
+    """Model from at most ``sample`` labelled rows outside the held-out fifth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -198,8 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factorisa
                 [column(batch, "doc_id"), column(batch, "y"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "y", "x"]
             )
 
-    own = _inputs(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(known), "doc_id")
-    rows = own.select("doc_id", "y", "text", "n_chars").mapInArrow(run, "doc_id long, y int, x binary").toArrow()
+    rows = labelled_rows(docs, labels, sample).mapInArrow(run, "doc_id long, y int, x binary").toArrow()
     table = rows.sort_by([("doc_id", "ascending")]).to_pydict()
     x = np.frombuffer(b"".join(table["x"]), np.float32).reshape(-1, WIDTH)
     return fit(x, np.array(table["y"], np.int64))

@@ -21,6 +21,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(names: list[str], stem: str) -> str:
+    """``stem``, made longer until no column has that name."""
+    taken = {n.lower() for n in names}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns with ``doc_id`` as long; other columns play no part."""
     return docs.select(*[F.col(c).cast("long").alias(c) if c == "doc_id" else F.col(c) for c in columns])

@@ -98,3 +98,10 @@ def test_stage_keeps_rows_without_id_and_one_row_per_id(spark, sf, odd_docs):
     once = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_group(spark, other, sf).collect()]
     again = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_group(spark, other.orderBy("text"), sf).collect()]
     assert sorted(once, key=str) == sorted(again, key=str) and len(once) == 2 and (None, None) in once
+
+
+def test_stage_with_columns_named_like_its_own(spark, sf):
+    rows = spark.createDataFrame([(1, "a b c", "x", {"k": 1}), (2, "a b c", "y", {}), (2, "d e", "z", None)], "doc_id long, text string, __id string, __row map<string,int>")
+    out = corpus_pipeline.keep_one_of_group(spark, rows, sf)
+    assert out.columns == rows.columns
+    assert sorted((r.doc_id, r["__id"]) for r in out.collect()) in ([(1, "x"), (2, "z")], [(1, "x"), (2, "y")], [(1, "x")])

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.llm import quality
 
@@ -66,3 +67,12 @@ def test_no_or_one_class(spark, odd_docs, no_docs, rows):
     assert got.columns == [c for c in odd_docs.columns if c != "score"] + ["score", "predicted"]
     assert all(0 <= r.score <= 1 for r in got.collect()) and got.count() == odd_docs.count()
     assert quality.score(no_docs, model).collect() == []
+
+
+def test_sample_bounds_rows_not_ids(spark):
+    docs = spark.range(1, 30).selectExpr("id AS doc_id", "'text ' || id AS text", "7L AS n_chars", "explode(sequence(1, 50)) AS copy")
+    docs = docs.withColumn("text", F.concat("text", (F.col("copy") % 3).cast("string")))
+    labels = spark.range(1, 30).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    rows = quality.labelled_rows(docs, labels, 5).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == 5
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, quality.labelled_rows(docs.orderBy(F.desc("text")), labels, 5).collect()))
