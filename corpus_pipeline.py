@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import decontaminate, line_dedup, near_copies, packing, quality, simhash
 from salesmart.llm.components import stored
-from salesmart.llm.texts import table
+from salesmart.llm.texts import table, unused
 from salesmart.llm.tokens import default_tokenizer
 from salesmart.session import new_folder
 
@@ -40,17 +40,19 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     the smallest hash stays. Among these documents ``near_copies`` then finds those that share 0.8
     of their five-word shingles with another, which fingerprints two bits apart do not reach.
     """
-    names, own = docs.columns, docs.withColumn("__id", F.col("doc_id").cast("long"))
-    first = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = own.join(first, "__id", "left_semi")
-    twice = stored(own.where("__id IS NOT NULL").groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"), "repeated-ids")
+    names = docs.columns
+    key, lost, row = (unused(names, x) for x in ("__id", "__gone", "__row"))
+    own = docs.withColumn(key, F.col("doc_id").cast("long"))
+    first = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = own.join(first, key, "left_semi")
+    twice = stored(own.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated-ids")
     if not twice.isEmpty():
-        order = F.struct(F.xxhash64("text"), F.xxhash64(*names))
-        repeated = kept.join(twice, "__id", "left_semi").groupBy("__id").agg(F.min_by(F.struct(*names), order).alias("__row"))
-        kept = kept.join(twice, "__id", "left_anti").select(*names).unionByName(repeated.select("__row.*"))
+        order = F.struct(F.xxhash64("text"), F.xxhash64(F.to_json(F.struct(*names))))
+        repeated = kept.join(twice, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*names), order).alias(row))
+        kept = kept.join(twice, key, "left_anti").select(*names).unionByName(repeated.select(f"{row}.*"))
     kept = stored(kept.select(*names), "one-of-group")
-    gone = near_copies.superseded(kept).select(F.col("doc_id").alias("__gone"))
-    return kept.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti").unionByName(docs.where(F.col("doc_id").cast("long").isNull()))
+    gone = near_copies.superseded(kept).select(F.col("doc_id").alias(lost))
+    return kept.join(gone, F.col("doc_id").cast("long") == F.col(lost), "left_anti").unionByName(docs.where(F.col("doc_id").cast("long").isNull()))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
