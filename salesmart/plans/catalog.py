@@ -130,12 +130,10 @@ def scan_copy_dump(spark: SparkSession, folder: str) -> DataFrame:
     write_copy_dump(
         trial.table("disposition"), "dvf_plus_2025_2", "dvf_plus_disposition", f"{root}/parts"
     )
-    dump = CopyDump(spark, root, "*.txt").table("mutation")
-    return dump.select(
-        "idmutation", "idopendata", "datemut", "anneemut", "libnatmut", "vefa", "coddep",
-        "valeurfonc", "codtypbien", "libtypbien", "sbati",
-        *[F.array_join(c, ",").alias(c) for c in ("l_codinsee", "l_section", "l_artcgi")],
-    )
+    dump = CopyDump(spark, root, "*.txt")
+    both = (dump.table(t).withColumn("table_name", F.lit(t)) for t in ("mutation", "disposition"))
+    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), both)
+    return rows.select(*[F.array_join(c, ",").alias(c) if kind == "array<string>" else c for c, kind in rows.dtypes])
 
 
 @query

@@ -159,6 +159,12 @@ DATE_COLUMNS = """day AS date_key, day AS full_date, CAST(year(day) AS INTEGER)
 _MODELS["dim_dates"] = (("calendar",), f"SELECT {DATE_COLUMNS} FROM calendar")
 
 
+# list columns of a dumped sale
+_DUMP_LISTS = (
+    "l_codinsee", "l_section", "l_par", "l_artcgi", "l_dcnt", "l_idpar", "l_idparmut", "l_idlocmut",
+)
+
+
 def oracle(final: str, *needs: str) -> str:
     """One statement: raw tables and models that ``needs`` stand on, then the final query."""
     models: list[str] = []
@@ -333,10 +339,11 @@ def build() -> dict[str, str]:
         "scan_csv_chunks": raw_rows("mutation"),
         "scan_geojson": raw_rows("geo_communes"),
         "scan_copy_dump": oracle(
-            "SELECT idmutation, idopendata, datemut, CAST(anneemut AS VARCHAR) AS anneemut, libnatmut, "
-            "vefa, coddep, valeurfonc, codtypbien, libtypbien, sbati, "
-            "trim(l_codinsee, '{}') AS l_codinsee, trim(l_section, '{}') AS l_section, "
-            "trim(l_artcgi, '{}') AS l_artcgi FROM mutation_dump", "mutation_dump"),
+            "SELECT 'mutation' AS table_name, * EXCLUDE (point_x, point_y) "
+            "REPLACE (CAST(anneemut AS VARCHAR) AS anneemut, "
+            + ", ".join(f"trim({c}, '{{}}') AS {c}" for c in _DUMP_LISTS)
+            + ") FROM mutation_dump UNION ALL BY NAME SELECT 'disposition' AS table_name, * FROM disposition",
+            "mutation_dump", "disposition"),
         "scan_source_tables": "SELECT table_name, row_count, n_columns FROM ("
             + _counts(SOURCE_TABLES, False) + ") JOIN (VALUES "
             + ", ".join(f"('{t}', {len(RAW_COLUMNS[t])})" for t in SOURCE_TABLES)

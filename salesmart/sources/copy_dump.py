@@ -1,16 +1,14 @@
 r"""Reader for dumps made of ``COPY schema.table (columns) FROM stdin;`` blocks.
 
-Dump text is read in splits like any text file, so one huge file still uses the whole cluster.
-The only context a split lacks is which block it starts in. A first pass keeps one row per split
-(the last block mark inside it) and a running "last mark before this split" fills that in:
+Dump text is read in byte ranges (``dump_ranges``), so one huge file still uses the whole cluster:
 
-1. marks: one small row per split, written to the shared folder;
-2. lines: an Arrow pass labels each line with the last mark seen in its split; lines ahead of the
-   first mark take the label carried over from earlier splits. These carried labels, three numbers
-   a split, are broadcast while there are at most ``BROADCAST_SPLITS`` of them (at 128 MB a split,
-   250 TB), so no line is ever exchanged; beyond that they are joined.
+1. marks: all bytes are searched for block headers and ends, in ranges of a split each. The driver
+   learns the place of every mark, two small rows per block, and so the byte range of every block;
+2. lines: a table is read from the ranges of its own blocks only, cut at the split size. No line is
+   exchanged or labelled, and what other tables hold is not opened.
 
-A line outside any block that starts like a block header but cannot be read is an error.
+A line outside any block that starts like a block header but cannot be read is an error, as are
+bytes that are not UTF-8.
 
 Fields are split, unescaped and typed by native expressions. A data line of a one-column table
 that spells a complete COPY header cannot be told from a header.
@@ -18,31 +16,25 @@ that spells a complete COPY header cannot be told from a header.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from salesmart.functions.scalars import pg_array
-from salesmart.session import new_folder
 from salesmart.sources.contracts import ARRAY_PREFIX, DUMP_TABLE_PREFIX, GEOMETRY_COLUMNS
+from salesmart.sources.dump_ranges import BLOCK_HEADER, HEADER, ODD, DumpRanges
 
 # Fixed values of the dump format.
-BLOCK_HEADER = r"^COPY (\w+)\.(\w+) \(([^)\t]*)\) FROM stdin;$"
 BLOCK_END = r"\."
 NULL_FIELD = r"\N"
 _BYTE_ESCAPE = r"\\(?:[0-7]|x[0-9A-Fa-f])"
-_LIKE_HEADER = r"^COPY .* FROM stdin;\s*$"
 ESCAPES = {r"\b": "\b", r"\f": "\f", r"\n": "\n", r"\r": "\r", r"\t": "\t", r"\v": "\v"}
 
-BROADCAST_SPLITS = 2_000_000
-
 _OUTSIDE = 0  # id of "in no block"; headers count from 1
-_CARRIED = -1  # id of "same block as the end of the previous split"
 
 
 def unescape(field: Column) -> Column:
@@ -74,110 +66,81 @@ def plain_name(table: str) -> str:
     return table.removeprefix(DUMP_TABLE_PREFIX)
 
 
-_MOVED = "dump was cut differently in the second pass; read it again"
-
-
-def _states(
-    batches: Iterator[pd.DataFrame], carried: dict[tuple[str, int], int] | None
-) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
-    """Each batch with the header id in force at its lines.
-
-    Lines ahead of a split's first mark take the carried id, or ``_CARRIED`` if none are given.
-    """
-    previous, state = (None, None), _CARRIED
-    for frame in batches:
-        if frame.empty:
-            continue
-        marks = frame["mark"].to_numpy(dtype="float64", na_value=np.nan)
-        fresh = (frame["file"] != frame["file"].shift()) | (frame["block"] != frame["block"].shift())
-        fresh.iloc[0] = (frame["file"].iloc[0], frame["block"].iloc[0]) != previous
-        state_at = marks.copy()
-        for row in np.flatnonzero(fresh.to_numpy() & np.isnan(marks)):
-            key = (frame["file"].iloc[row], int(frame["block"].iloc[row]))
-            if carried is not None and key not in carried:
-                raise RuntimeError(_MOVED)
-            state_at[row] = _CARRIED if carried is None else carried[key]
-        if np.isnan(state_at[0]):
-            state_at[0] = state
-        state_at = pd.Series(state_at).ffill().to_numpy().astype("int32")
-        previous = (frame["file"].iloc[-1], int(frame["block"].iloc[-1]))
-        state = int(state_at[-1])
-        outside = frame.loc[np.isnan(marks) & (state_at == _OUTSIDE), "value"]
-        odd = outside[outside.str.match(_LIKE_HEADER)]
-        if len(odd):
-            raise ValueError(f"block header that cannot be read: {odd.iloc[0]!r}")
-        yield frame, state_at
-
-
 class CopyDump:
     """Tables of one or more dump files."""
 
-    broadcast_splits = BROADCAST_SPLITS
-
     def __init__(self, spark: SparkSession, paths: str | list[str], pattern: str = "*.sql"):
         self.spark = spark
-        self.paths = paths
-        self.pattern = pattern
-        # Both passes must cut the files alike, also while executors come and go.
-        if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-            spark.conf.set(
-                "spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism)
-            )
-        folder = new_folder(spark, "dump-marks")
-        self._marks().write.parquet(folder)
-        self._splits = spark.read.parquet(folder)
-        self._headers = self._distinct_headers()
-        if not self._headers:
-            odd = self._splits.agg(F.max("odd")).first()[0]
-            if odd is not None:
-                raise ValueError(f"block header that cannot be read: {odd!r}")
-        self._stored: str | None = None
-
-    def _lines(self) -> DataFrame:
-        text = (
-            self.spark.read.option("lineSep", "\n")
+        spark.dataSource.register(DumpRanges)
+        listed = (
+            spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", self.pattern)
-            .text(self.paths)
-        )
-        value = F.col("value")
-        mark = F.when(value == BLOCK_END, F.lit("")).when(
-            value.startswith("COPY ") & value.rlike(BLOCK_HEADER), value
-        )
-        return text.select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            mark.alias("mark"),
+            .option("pathGlobFilter", pattern)
+            .load(paths)
+            .select("path", F.col("_metadata.file_path").alias("name"), "length")
         )
-
-    def _marks(self) -> DataFrame:
-        """One row per split: its headers, and the mark in force where it starts."""
-        marked = self._lines().withColumn("at", F.monotonically_increasing_id())
-        per_split = marked.groupBy("file", "block").agg(
-            F.max(F.when(F.col("mark").isNotNull(), F.struct("at", "mark")))["mark"].alias("last"),
-            F.collect_set(F.when(F.col("mark") != "", F.col("mark"))).alias("headers"),
-            F.max(F.when(F.col("mark").isNull() & F.col("value").rlike(_LIKE_HEADER), F.col("value"))).alias("odd"),
-        )
-        earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-        return per_split.select(
-            "file",
-            "block",
-            "headers",
-            "odd",
-            F.coalesce(F.last("last", ignorenulls=True).over(earlier), F.lit("")).alias("carried"),
-        )
-
-    def _distinct_headers(self) -> list[str]:
-        """Distinct block headers: as many as there are table definitions."""
-        found = self._splits.select(F.explode("headers").alias("h")).distinct()
-        return sorted(row.h for row in found.toLocalIterator())
+        # a listing: names and sizes, as the driver has them for any read
+        self.files = sorted([r.path, r.name, r.length] for r in listed.collect() if r.length)
+        whole = sum(size for *_, size in self.files)
+        limits = spark._jsparkSession.sessionState().conf()
+        fair = max(limits.filesOpenCostInBytes(), -(-whole // spark.sparkContext.defaultParallelism))
+        self.split = max(1, min(limits.filesMaxPartitionBytes(), fair))
+        self._headers: list[str] = []
+        self._blocks: list[tuple[int, int, int, int]] = self._found()
+
+    def _read(self, what: str, ranges: list[tuple[int, int, int, int]]) -> DataFrame:
+        """Ranges (file, start, end, header id), cut at the split size and packed into partitions of about that size."""
+        partitions: list[list] = []
+        room = 0
+        for number, start, end, header in ranges:
+            for at in range(start, end, self.split):
+                until = min(end, at + self.split)
+                if until - at > room:
+                    partitions.append([])
+                    room = self.split
+                partitions[-1].append((number, at, until, header))
+                room -= until - at
+        work = json.dumps({"files": self.files, "partitions": partitions})
+        return self.spark.read.format("dump_ranges").option("what", what).option("work", work).load()
+
+    def _found(self) -> list[tuple[int, int, int, int]]:
+        """The byte range of every block, with its header id."""
+        whole = [(number, 0, size, _OUTSIDE) for number, (*_, size) in enumerate(self.files)]
+        marks = self._read("marks", whole).sort("file", "at").collect()  # two rows a block
+        self._headers = sorted({m.text for m in marks if m.kind == HEADER})
+        ids = {header: number for number, header in enumerate(self._headers, start=1)}
+        blocks: list[tuple[int, int, int, int]] = []
+        file, start, header = -1, 0, _OUTSIDE
+
+        def close(end: int) -> None:
+            if header != _OUTSIDE and start < end:
+                blocks.append((file, start, end, header))
+
+        for m in marks:
+            if m.file != file:
+                if file >= 0:
+                    close(self.files[file][2])  # a dump that was cut off
+                file, header = m.file, _OUTSIDE
+            if m.kind == ODD:
+                if header == _OUTSIDE:
+                    raise ValueError(f"block header that cannot be read: {m.text!r}")
+                continue
+            close(m.at)
+            start, header = m.next, ids.get(m.text, _OUTSIDE)
+        if file >= 0:
+            close(self.files[file][2])
+        return blocks
+
+    def ranges(self, name: str) -> list[tuple[str, int, int]]:
+        """(file, start, end) of the blocks of a table: all that reading it opens."""
+        wanted = {number for number, _, _ in self.definitions()[name]}
+        return [(self.files[number][1], start, end) for number, start, end, header in self._blocks if header in wanted]
 
     def definitions(self) -> dict[str, list[tuple[int, str, list[str]]]]:
         """Table -> (header id, schema, columns) of each way it is declared."""
         found: dict[str, list[tuple[int, str, list[str]]]] = {}
         for number, header in enumerate(self._headers, start=1):
-            schema, table, columns = re.match(BLOCK_HEADER, header).groups()
+            schema, table, columns = BLOCK_HEADER.fullmatch(header).groups()
             names = [c.strip().strip('"') for c in columns.split(",")]
             found.setdefault(plain_name(table), []).append((number, schema, names))
         return found
@@ -193,71 +156,11 @@ class CopyDump:
                     return schema
         return None
 
-    def _header_id(self, mark: Column) -> Column:
-        ids = F.lit(_OUTSIDE)
-        for number, header in enumerate(self._headers, start=1):
-            ids = F.when(mark == header, F.lit(number)).otherwise(ids)
-        return ids
-
-    def stage(self) -> CopyDump:
-        """Write all labelled lines once, by block header; tables are then read from there.
-
-        Worth it for more than one table: the text is labelled once instead of once per table.
-        """
-        folder = new_folder(self.spark, "dump-lines")
-        every = set(range(1, len(self._headers) + 1))
-        self._labelled(every).write.partitionBy("header").parquet(folder)
-        self._stored = folder
-        return self
-
-    def _labelled(self, wanted: set[int]) -> DataFrame:
-        """Lines of the wanted blocks with their header id."""
-        if self._stored:
-            stored = self.spark.read.schema("file string, value string, header int")
-            return stored.parquet(self._stored).filter(F.col("header").isin(*wanted))
-        numbered = self._lines().withColumn(
-            "mark", F.when(F.col("mark").isNotNull(), self._header_id(F.col("mark")))
-        )
-        splits = self._splits.select(
-            "file", "block", self._header_id(F.col("carried")).alias("carried")
-        )
-        if splits.count() > self.broadcast_splits:
-            return self._labelled_by_join(numbered, splits, wanted)
-        known = splits.toPandas()
-        carried = self.spark.sparkContext.broadcast(
-            dict(zip(zip(known["file"], known["block"]), known["carried"].astype(int)))
-        )
-
-        def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame, state in _states(batches, carried.value):
-                chosen = frame["mark"].isna().to_numpy() & np.isin(state, sorted(wanted))
-                yield frame.loc[chosen, ["file", "value"]].assign(header=state[chosen])
-
-        return numbered.mapInPandas(label, "file string, value string, header int")
-
-    def _labelled_by_join(
-        self, numbered: DataFrame, splits: DataFrame, wanted: set[int]
-    ) -> DataFrame:
-        keep = [_CARRIED, *sorted(wanted)]
-
-        def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame, state in _states(batches, None):
-                chosen = frame["mark"].isna().to_numpy() & np.isin(state, keep)
-                yield frame.loc[chosen, ["file", "block", "value"]].assign(header=state[chosen])
-
-        lines = numbered.mapInPandas(label, "file string, block long, value string, header int")
-        joined = lines.join(splits, ["file", "block"], "left")
-        moved = F.raise_error(F.lit(_MOVED))
-        carried = F.when(F.col("carried").isNull(), moved.cast("int")).otherwise(F.col("carried"))
-        header = F.when(F.col("header") == _CARRIED, carried).otherwise(F.col("header"))
-        return joined.select("file", "value", header.alias("header")).filter(
-            F.col("header").isin(*wanted)
-        )
-
     def table(self, name: str, lineage: bool = False) -> DataFrame:
         """Rows of one table: text columns, arrays for list columns, hex text for geometry."""
         variants = self.definitions()[name]
-        lines = self._labelled({number for number, _, _ in variants})
+        wanted = {number for number, _, _ in variants}
+        lines = self._read("lines", [b for b in self._blocks if b[3] in wanted])
         fields = F.split(F.col("value"), "\t", -1)
         names = list(dict.fromkeys(c for _, _, columns in variants for c in columns))
 

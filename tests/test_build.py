@@ -71,7 +71,7 @@ def test_dump_delivery(spark, sf, boundaries, tmp_path):
     statuses = {r.status for r in models["dq_report"].select("status").distinct().collect()}
     assert statuses == {"pass", "warn"}
 
-    dump = CopyDump(spark, str(tmp_path / "dump"), "*.txt").stage()
+    dump = CopyDump(spark, str(tmp_path / "dump"), "*.txt")
     some = exported({t: dump.table(t) for t in ("mutation", "local", "ann_cgi")}, ["13"])
     for table in ("mutation", "local"):
         assert some[table].count() == tables[table].filter("coddep = '13'").count() > 0

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.sinks import tables as sinks
+from salesmart.sources import dump_ranges
 from salesmart.sources.copy_dump import CopyDump, scan_copy_dump, unescape, write_copy_dump
 from salesmart.sources.csv_files import csv_files, scan_csv_chunks, scan_csv_table
 from salesmart.sources.geojson import scan_geojson, scan_geojson_folder, table_for_file
@@ -127,12 +128,12 @@ def test_dump_equals_sequential_reading_for_any_split(spark, tmp_path, split):
         dump = CopyDump(spark, str(tmp_path))
         assert dump.tables() == ["local", "mutation"]
         assert dump.national_schema() == "dvf_plus_2025_2"
-        for source in (dump, CopyDump(spark, str(tmp_path)).stage()):
-            for table in truth:
-                got = sorted(map(str, (tuple(r) for r in source.table(table).collect())))
-                assert got == sorted(map(str, truth[table]))
-        if split == "300b":
-            assert dump._splits.filter("file like '%d01%'").count() > 20
+        for table in truth:
+            rows = dump.table(table)
+            got = sorted(map(str, (tuple(r) for r in rows.collect())))
+            assert got == sorted(map(str, truth[table]))
+            if split == "300b" and table == "mutation":
+                assert rows.rdd.getNumPartitions() > 20
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -207,23 +208,53 @@ def test_header_that_cannot_be_read_is_an_error(spark, tmp_path):
         CopyDump(spark, str(tmp_path / "b.sql")).table("local").collect()
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_dump_lines_with_and_without_broadcast(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(CopyDump, "broadcast_splits", limit)
+def test_dump_tables_open_only_their_own_bytes(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
         rows = "".join(f"{i}\tv{i}\n" for i in range(2000))
-        (tmp_path / "a.sql").write_text(f"-- x\nCOPY s.dvf_plus_local (idloc, v) FROM stdin;\n{rows}\\.\nCOPY s.dvf_plus_lot (idlot) FROM stdin;\n7\n\\.\n")
+        text = f"-- x\nCOPY s.dvf_plus_local (idloc, v) FROM stdin;\n{rows}\\.\nCOPY s.dvf_plus_lot (idlot) FROM stdin;\n7\n\\.\n"
+        (tmp_path / "a.sql").write_text(text)
         dump = CopyDump(spark, str(tmp_path / "a.sql"))
         local = dump.table("local")
         assert sorted(int(r.idloc) for r in local.collect()) == list(range(2000))
         plan = local._jdf.queryExecution().executedPlan().toString()
-        assert ("Exchange" in plan or "Join" in plan) == (limit == 0)
+        assert "Exchange" not in plan and "Join" not in plan
         assert [r.idlot for r in dump.table("lot").collect()] == ["7"]
+        assert [end - start for _, start, end in dump.ranges("lot")] == [2]
+        assert sum(end - start for _, start, end in dump.ranges("local")) == len(rows)
+        assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+        (tmp_path / "a.sql").write_text(text + "-- more\n")
+        with pytest.raises(Exception, match="has changed since"):
+            local.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_ranges_give_every_line_once(tmp_path, monkeypatch, size):
+    monkeypatch.setattr(dump_ranges, "READ_BYTES", 5)
+    for text in (b"", b"\n", b"a", b"a\n", b"\n\na\n", b"first\nsecond line, longer\n\nlast", b"x" * 40 + b"\ny\n"):
+        path = tmp_path / "t"
+        path.write_bytes(text)
+        file, length = dump_ranges.opened(f"file:{path}")
+        found = []
+        for at in range(0, length, size):
+            for offset, part in dump_ranges.whole_lines(file, at, min(length, at + size)):
+                assert text[offset : offset + len(part)] == part
+                found.append(part)
+        assert b"".join(found) == text and all(x.endswith(b"\n") for x in found[:-1])
+
+
+def test_dump_that_is_cut_off(spark, tmp_path):
+    (tmp_path / "a b.sql").write_text("COPY s.local (a) FROM stdin;\n1\n2")
+    (tmp_path / "c.sql").write_text("COPY s.local (a) FROM stdin;\nCOPY s.lot (b) FROM stdin;\n3\n\\.\n")
+    (tmp_path / "d.sql").write_text("")
+    dump = CopyDump(spark, str(tmp_path))
+    assert sorted(r.a for r in dump.table("local").collect()) == ["1", "2"]
+    assert [(r.b, r.source_file.rsplit("/", 1)[1]) for r in dump.table("lot", lineage=True).collect()] == [("3", "c.sql")]
+
+
 def test_csv_keeps_blanks(spark, tmp_path):
     from salesmart.sinks.tables import write_csv_export
 
