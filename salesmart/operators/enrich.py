@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.operators.serving import exact_sum
+
 SALE = "mutation_id"
 
 
@@ -20,7 +22,7 @@ def arg_first(value: str, order: str) -> Column:
 def disposition_agg(dispositions: DataFrame) -> DataFrame:
     return dispositions.groupBy(SALE).agg(
         F.count(F.lit(1)).alias("disposition_count_actual"),
-        F.sum("disposition_price_eur").alias("total_disposition_price_eur"),
+        exact_sum("disposition_price_eur").alias("total_disposition_price_eur"),
     )
 
 

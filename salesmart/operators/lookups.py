@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.session import new_folder, path_exists, remove_folder
+from salesmart.sinks.releases import commit_partitions, has_release, read_release
 
 
 def first_of_key(df: DataFrame, key: str) -> DataFrame:
@@ -60,27 +60,30 @@ def incremental_merge(
     """Existing rows overlaid by newer ones: the highest ``version`` of each key stays.
 
     The whole row travels as one struct through a two-phase maximum, so no key is ever gathered.
+    Rows without a key are nobody's newer version: all of them stay.
     """
     both = existing.unionByName(incoming)
     rest = [c for c in both.columns if c not in (key, version)]
     newest = F.max(F.struct(version, *rest)).alias("row")
-    return both.groupBy(key).agg(newest).select(key, "row.*").select(*both.columns)
+    keyed = both.filter(F.col(key).isNotNull()).groupBy(key).agg(newest).select(key, "row.*")
+    return keyed.select(*both.columns).unionByName(both.filter(F.col(key).isNull()))
 
 
 def merge_release(
     spark: SparkSession, path: str, incoming: DataFrame, key: str, version: str, year: str
 ) -> None:
-    """Overlay a stored history, partitioned by ``year``, by a release.
+    """Overlay a stored history, partitioned by ``year``, by a release; ``read_release`` reads it.
 
     Only year partitions that the release touches are read whole and replaced: those of its rows,
     and those where a stored row has one of its keys (a sale may have changed its year). The key
-    column alone is read to find these. Other partitions keep their files.
+    column alone is read to find these. Other partitions keep their files. The replacement is one
+    commit: until it is done, and if it never is, readers see the history as it was.
     """
-    if not path_exists(spark, path):
+    if not has_release(spark, path):
         first = incremental_merge(incoming.limit(0), incoming, key, version)
-        first.write.partitionBy(year).parquet(path)
+        commit_partitions(first, path, year, [])
         return
-    stored = spark.read.parquet(path)
+    stored = read_release(spark, path, year)
     # one value per partition
     moved = stored.select(key, year).join(incoming.select(key), key, "left_semi").select(year)
     touched = incoming.select(year).unionByName(moved).distinct()
@@ -90,20 +93,7 @@ def merge_release(
         chosen = F.coalesce(chosen, F.lit(True))
     order = incoming.columns
     merged = incremental_merge(stored.filter(chosen).select(*order), incoming, key, version)
-    fresh = new_folder(spark, "merged")
-    merged.write.parquet(fresh)  # what is read cannot be replaced while it is read
-    kept = spark.read.schema(merged.schema).parquet(fresh)
-    (
-        kept.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(year)
-        .parquet(path)
-    )
-    # a partition whose rows all moved to other years is written by nobody
-    left = {r[0] for r in kept.select(year).distinct().toLocalIterator()}
-    for gone in set(years) - left:
-        name = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone
-        remove_folder(spark, f"{path}/{year}={name}")
+    commit_partitions(merged, path, year, years)
 
 
 def append_new(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

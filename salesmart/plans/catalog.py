@@ -14,6 +14,7 @@ from salesmart.operators import enrich, export, lookups, marts, quality, serving
 from salesmart.plans.starschema import StarSchema
 from salesmart.session import new_folder
 from salesmart.sinks import tables as sinks
+from salesmart.sinks.releases import read_release
 from salesmart.sources import csv_files, geojson
 from salesmart.sources.contracts import (
     MUTATION_POINT,
@@ -566,7 +567,7 @@ def ppsqm_distribution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def volume_by_commune(spark: SparkSession, folder: str) -> DataFrame:
-    places = star(spark, folder).dim_geography()
+    places = _written(spark, folder, "geography", ("dim_geography",))["dim_geography"]
     out = serving.volume_by_commune(fact(spark, folder), places)
     return _rounded(_rounded(out, "centroid_lat", 6), "centroid_lon", 6)
 
@@ -830,7 +831,7 @@ def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "history")
     lookups.merge_release(spark, path, old, "mutation_id", "release", "transaction_year")
     lookups.merge_release(spark, path, new, "mutation_id", "release", "transaction_year")
-    return spark.read.parquet(path).select(
+    return read_release(spark, path, "transaction_year").select(
         "mutation_id", "release", "transaction_price_eur", "department_code"
     )
 

@@ -49,24 +49,27 @@ def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
         files.delete(old, True)
 
 
-def _beside(path: str) -> str:
+def _beside(spark: SparkSession, path: str) -> str:
     """Fresh folder in the same place, hidden from readers of the parent."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_{name}-{uuid.uuid4().hex[:8]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place)
+    return f"{whole.getParent()}/_{whole.getName()}-{uuid.uuid4().hex[:8]}"
 
 
 def write_csv_export(df: DataFrame, path: str) -> int:
-    """CSV with header; NULL is an empty field, an empty text is quoted, blanks stay. Returns the
-    row count."""
+    """CSV with header; NULL is an empty field, an empty text is quoted, blanks stay. Replaces an
+    earlier export once it is whole. Returns the row count."""
     counted, seen = _counted(df)
-    counted.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    fresh = _beside(df.sparkSession, path)
+    counted.write.options(**CSV_WRITE_OPTIONS).csv(fresh)
+    replace_folder(df.sparkSession, fresh, path)
     return seen.get["rows"]
 
 
 def write_truncate(df: DataFrame, path: str) -> int:
     """Full replacement of a table; running it again leaves the same rows."""
     counted, seen = _counted(df)
-    fresh = _beside(path)
+    fresh = _beside(df.sparkSession, path)
     counted.write.parquet(fresh)
     replace_folder(df.sparkSession, fresh, path)
     return seen.get["rows"]
@@ -91,7 +94,7 @@ def write_partitioned_clustered(
     and merge undersized tasks, so a year or department that holds a third of the rows is written
     by many tasks while small ones do not scatter into tiny files.
     """
-    fresh = _beside(path)
+    fresh = _beside(df.sparkSession, path)
     (
         df.withColumn(YEAR_BUCKET, year_bucket(F.col(year), years))
         .hint("rebalance", YEAR_BUCKET, cluster[0])
@@ -135,9 +138,12 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 
 def write_chunk(df: DataFrame, path: str, batch: str) -> int:
     """Rows of one batch as their own folder: a repeat replaces it, also by nothing, and other
-    batches stay. Only the batch's folder is touched."""
+    batches stay. Only the batch's folder is touched, once its rows are whole."""
     counted, seen = _counted(df)
-    counted.write.mode("overwrite").parquet(f"{path}/{BATCH}={quote(batch, safe='')}")
+    place = f"{path}/{BATCH}={quote(batch, safe='')}"
+    fresh = _beside(df.sparkSession, place)
+    counted.write.parquet(fresh)
+    replace_folder(df.sparkSession, fresh, place)
     return seen.get["rows"]
 
 

@@ -200,12 +200,13 @@ def stream_ingest(
         )
 
     def keep(batch: DataFrame, _: int) -> None:
+        # the files of the batch as they were delivered: one may lose all its rows in ``transform``
         files = batch.select(SOURCE).distinct()
-        _record(spark, files, {table: batch}, target, manifest)
+        _record(spark, files, {table: transform(batch)}, target, manifest)
 
     source = reader(spark.readStream).option("maxFilesPerTrigger", files_per_trigger).csv(folder)
     query = (
-        transform(source.select("*", F.col("_metadata.file_path").alias(SOURCE)))
+        source.select("*", F.col("_metadata.file_path").alias(SOURCE))
         .writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -84,6 +84,7 @@ def test_incomplete_delivery_stops(spark, sf, boundaries, tmp_path):
         sinks.write_csv_export(trial.table(table), str(tmp_path / "csv" / f"{table}.csv"))
     with pytest.raises(QualityError, match="missing or empty: adresse, disposition_parcelle, local, parcelle"):
         build_from_csv(spark, str(tmp_path / "csv"), boundaries, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()  # nothing is replaced by a delivery that is not whole
 
 
 def test_layers_have_their_namespaces(spark, sf, tmp_path):

@@ -137,6 +137,20 @@ def test_stream_equals_batches(spark, places, tmp_path):
     assert _rows(spark, out, out_log) == want and _totals(spark, out_log) == {"t": len(want)}
 
 
+def test_stream_records_files_whose_rows_the_transform_drops(spark, places, tmp_path):
+    landing, _, _ = places
+    out, log, check = (str(tmp_path / x) for x in ("stream", "stream-log", "checkpoint"))
+    schema = text_schema(["k", "v"])
+    drop = lambda df: df.where("k NOT LIKE '7-%'")
+    ingest.stream_ingest(spark, landing, "t", schema, out, log, check, 10, transform=drop)
+    assert _rows(spark, out, log) == [k for k in _truth(23) if not k.startswith("7-")]
+    entries = manifest.read_manifest(spark, log)
+    assert entries.select("source_file").distinct().count() == 23
+    before = entries.count()
+    ingest.stream_ingest(spark, landing, "t", schema, out, log, check, 10, transform=drop)
+    assert manifest.read_manifest(spark, log).count() == before
+
+
 def test_stream_of_the_event_table(spark, sf, tmp_path):
     events = spark.read.parquet(f"{sf}/events.parquet").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("value").cast("string").alias("value"))

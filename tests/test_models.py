@@ -95,3 +95,15 @@ def test_distribution_last_band_is_open(spark):
     df = spark.createDataFrame([(0.0,), (499.9,), (500.0,), (1e9,), (None,)], "price_per_sqm double")
     got = [tuple(r) for r in serving.ppsqm_distribution(df).collect()]
     assert got == [(0.0, 2), (500.0, 1), (20000.0, 1)]
+
+
+def test_disposition_totals_are_whole_cents(spark):
+    from salesmart.operators import enrich
+
+    rows = [(1, 0.1)] * 3 + [(1, None), (2, None)] + [(3, 1e15)] + [(3, 0.01)] * 7
+    got = {}
+    for shuffled in (rows, rows[::-1]):
+        df = spark.createDataFrame(shuffled, "mutation_id long, disposition_price_eur double")
+        for r in enrich.disposition_agg(df.repartition(3)).collect():
+            got.setdefault(r.mutation_id, []).append((r.disposition_count_actual, r.total_disposition_price_eur))
+    assert got == {1: [(4, 0.3)] * 2, 2: [(1, None)] * 2, 3: [(8, 1000000000000000.07)] * 2}

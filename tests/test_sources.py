@@ -1,12 +1,14 @@
 """File sources and sinks on hand-made files."""
 
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from salesmart.sinks import tables as sinks
+from salesmart.sinks import releases
 from salesmart.sources import dump_ranges
 from salesmart.sources.copy_dump import CopyDump, scan_copy_dump, unescape, write_copy_dump
 from salesmart.sources.csv_files import csv_files, scan_csv_chunks, scan_csv_table
@@ -317,15 +319,64 @@ def test_untouched_years_keep_their_files(spark, tmp_path):
     schema = "k long, y long, p double, v int"
     rows = [(1, 2020, 1.0, 1), (2, 2020, 2.0, 1), (3, 2021, 3.0, 1), (4, 2022, 4.0, 1), (5, None, 5.0, 1)]
     lookups.merge_release(spark, str(path), spark.createDataFrame(rows, schema), "k", "v", "y")
-    files = lambda y: sorted(p.name for p in (path / f"y={y}").glob("*.parquet"))
+    read = lambda: releases.read_release(spark, str(path), "y")
+    files = lambda y: sorted({r[0] for r in read().where(f"y = {y}").select("_metadata.file_path").collect()})
     before = {y: files(y) for y in (2020, 2021, 2022)}
     news = [(3, 2022, 33.0, 2), (6, 2022, 6.0, 2), (4, 2022, 0.0, 0)]  # one moves its year, one is older
     lookups.merge_release(spark, str(path), spark.createDataFrame(news, schema), "k", "v", "y")
-    got = {r.k: (r.y, r.p, r.v) for r in spark.read.parquet(str(path)).collect()}
+    got = {r.k: (r.y, r.p, r.v) for r in read().collect()}
     assert got == {1: (2020, 1.0, 1), 2: (2020, 2.0, 1), 3: (2022, 33.0, 2), 4: (2022, 4.0, 1), 5: (None, 5.0, 1), 6: (2022, 6.0, 2)}
     assert files(2020) == before[2020] and files(2021) == [] and files(2022) != before[2022]
 
 
+def test_release_that_dies_leaves_the_history_as_it_was(spark, tmp_path, monkeypatch):
+    from salesmart.operators import lookups
+
+    path, schema = str(tmp_path / "history"), "k long, y long, v int"
+    merge = lambda rows: lookups.merge_release(spark, path, spark.createDataFrame(rows, schema), "k", "v", "y")
+    read = lambda: sorted(map(tuple, releases.read_release(spark, path, "y").collect()), key=str)
+    with pytest.raises(FileNotFoundError):
+        read()
+    merge([(1, 2020, 1), (2, 2021, 1), (None, 2021, 1), (None, 2021, 1)])
+    before = read()
+    assert before == [(1, 2020, 1), (2, 2021, 1), (None, 2021, 1), (None, 2021, 1)]
+    old = releases.read_release(spark, path, "y")
+
+    def die(*_):
+        raise RuntimeError("lost before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(releases, "_commit", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            merge([(1, 2021, 2), (3, 2022, 2)])
+    assert read() == before
+    merge([(1, 2021, 2), (3, 2022, 2)])
+    # rows without a key are never merged into one
+    assert read() == [(1, 2021, 2), (2, 2021, 1), (3, 2022, 2), (None, 2021, 1), (None, 2021, 1)]
+    assert sorted(map(tuple, old.collect()), key=str) == before  # who reads the old release goes on reading it
+    assert len(releases.drop_superseded(spark, path)) == 2 and len(read()) == 5
+
+
+def test_tables_at_relative_paths(spark, tmp_path, monkeypatch):
+    name = f"relative-{tmp_path.name}-{os.getpid()}"
+    where = sinks._beside(spark, name)
+    home = spark._jvm.org.apache.hadoop.fs.Path(name).getFileSystem(spark._jsc.hadoopConfiguration()).getWorkingDirectory().toString()
+    assert where.startswith(f"{home}/_{name}-")
+
+
+def test_failed_exports_and_chunks_leave_the_old_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    broken = spark.range(5).withColumn("x", F.expr("if(id = 3, raise_error('no'), 1)"))
+    for write, count in (
+        (lambda df: sinks.write_csv_export(df, path + ".csv"), lambda: spark.read.csv(path + ".csv", header=True).count()),
+        (lambda df: sinks.write_chunk(df, path, "b/1"), lambda: sinks.read_chunks(spark, path).count()),
+    ):
+        assert write(spark.range(3)) == 3
+        with pytest.raises(Exception, match="no"):
+            write(broken)
+        assert count() == 3 and write(spark.range(4)) == 4 and count() == 4
+
+
 def test_reference_rows_once_per_key(spark):
     from salesmart.operators import lookups
 
