@@ -66,7 +66,7 @@ def _hashing(lanes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 _COARSE = _hashing(BANDS * ROWS, 5)
 _FINE = _hashing(FINE_BANDS * FINE_ROWS, 7)
 _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
-_AT_ONCE = 1024  # shingles hashed at once
+_AT_ONCE = 131_072  # lanes of shingles mixed at once
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -86,8 +86,9 @@ def minima(hashes: np.ndarray, hashing: tuple[np.ndarray, np.ndarray] = _COARSE)
     """The least mixed hash in each lane."""
     flip, times = hashing
     least = np.full(len(flip), 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), _AT_ONCE):
-        mixed = (hashes[at : at + _AT_ONCE] ^ flip[:, None]) * times[:, None]
+    step = max(1, _AT_ONCE // len(flip))
+    for at in range(0, len(hashes), step):
+        mixed = (hashes[at : at + step] ^ flip[:, None]) * times[:, None]
         mixed ^= mixed >> np.uint64(31)
         mixed *= _FOLD
         np.minimum(least, mixed.min(axis=1), out=least)
