@@ -8,8 +8,9 @@ and tokens and segments are left over, the largest waiting piece is cut to fill
 
 Each task packs its own rows in windows of ``WINDOW`` items, so no row is shuffled, memory is
 bounded by a window, and a lost task is repeated alone with the same result. What a window leaves
-in its last sequence is carried to the next window; only the last sequence of a task is short, and
-it is split into sequences of power-of-two length, which need no padding.
+in its last sequence is carried to the next window. A sequence that ends short of its tokens, since
+the rows end or since it has all the segments or loss it admits, is split into sequences of
+power-of-two length, which need no padding.
 """
 
 from __future__ import annotations
@@ -105,15 +106,13 @@ class Packer:
                 room -= (take, 1, np.ceil(take * share[pick]))
             if not pieces:
                 raise ValueError("an item has a token that bears more loss than a sequence admits")
-            if last and not open_.any():
-                out += self._powers(pieces)
-            else:
-                out += self._close(pieces)
+            # full sequences stay whole; one that another limit closed early is cut like the last one
+            out += self._powers(pieces)
         self.waiting = [(w[0], int(b), int(x), w[3]) for w, b, x, o in zip(waiting, begin, left, open_, strict=True) if o]
         return out
 
     def _powers(self, pieces: list[tuple]) -> list[tuple]:
-        """The last pieces as sequences of power-of-two length."""
+        """Pieces as one full sequence, or as sequences of power-of-two length."""
         total, out = sum(p[2] for p in pieces), []
         rest = list(pieces)
         while total:

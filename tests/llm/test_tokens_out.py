@@ -136,3 +136,18 @@ def test_full_sequences_leave_little_room():
     for sequence, _, _, _, n in found:
         size[sequence] += n
     assert sum(n != 1024 and n & (n - 1) != 0 for n in size.values()) == 0
+
+
+@pytest.mark.parametrize("tokens, limit", [(5, None), (1, None), (700, 300)])
+def test_no_padding_where_another_limit_closes_a_sequence(tokens, limit):
+    packer = packing.Packer(loss_limit=limit)
+    items = [(k, tokens, tokens // 2) for k in range(3000)]
+    out = packer.pack(items[:2000]) + packer.pack(items[2000:], last=True)
+    sizes, segments, loss = defaultdict(int), defaultdict(int), defaultdict(float)
+    for sequence, offset, _, _, n in out:
+        assert offset == sizes[sequence]
+        sizes[sequence] += n
+        segments[sequence] += 1
+        loss[sequence] += n * (tokens // 2) / tokens
+    assert sum(sizes.values()) == 3000 * tokens and all(n & (n - 1) == 0 and n <= packing.LENGTH for n in sizes.values())
+    assert max(segments.values()) <= packing.SEGMENTS and max(loss.values()) <= (limit or packing.LENGTH)
