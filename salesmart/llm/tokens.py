@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Entries a worker keeps (about 50 MB): frequent pieces come first; later ones are encoded anew.
-CACHE_PIECES = 250_000
+# Entries a worker keeps (about 100 MB): frequent pieces come first; later ones are encoded anew.
+CACHE_PIECES = 500_000
 # Text encoded at once, which looks up a repeated piece once; one document may be larger.
-ENCODED_BYTES = 2_000_000
+ENCODED_BYTES = 4_000_000
 # A longer piece is encoded but not remembered, which bounds the memory in bytes.
 CACHE_PIECE_LENGTH = 48
 
