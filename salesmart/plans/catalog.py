@@ -13,6 +13,7 @@ from salesmart.functions import geo, scalars
 from salesmart.operators import enrich, export, lookups, marts, quality, serving, staging
 from salesmart.plans.starschema import StarSchema
 from salesmart.session import new_folder
+from salesmart.sinks import clustered
 from salesmart.sinks import tables as sinks
 from salesmart.sinks.releases import read_release
 from salesmart.sources import csv_files, geojson
@@ -173,6 +174,24 @@ def write_partitioned_clustered(spark: SparkSession, folder: str) -> DataFrame:
     return fact(spark, folder).drop(sinks.YEAR_BUCKET)
 
 
+def clustered_fact(spark: SparkSession, folder: str) -> str:
+    path = new_folder(spark, "clustered")
+    clustered.write_clustered(fact(spark, folder).drop(sinks.YEAR_BUCKET), path)
+    return path
+
+
+@query
+def write_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    return clustered.read_clustered(spark, clustered_fact(spark, folder)).drop(sinks.YEAR_BUCKET)
+
+
+@query
+def read_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = {"department_code": ["13", "75"], "property_type_label": ["UNE MAISON", "UN APPARTEMENT"]}
+    rows = clustered.read_clustered(spark, clustered_fact(spark, folder), (2018, 2020), wanted)
+    return rows.drop(sinks.YEAR_BUCKET)
+
+
 @query
 def write_truncate(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "truncate")

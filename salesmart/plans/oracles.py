@@ -355,6 +355,10 @@ def build() -> dict[str, str]:
         # sinks
         "write_csv_export": raw_rows("disposition_parcelle"),
         "write_partitioned_clustered": model_oracle("fct_transactions"),
+        "write_clustered": model_oracle("fct_transactions"),
+        "read_clustered": _fact(
+            "SELECT * FROM fct_transactions WHERE transaction_year BETWEEN 2018 AND 2020 "
+            "AND property_type_label IN ('UNE MAISON', 'UN APPARTEMENT') AND department_code IN ('13', '75')"),
         "write_truncate": model_oracle("stg_dispositions"),
         "write_chunk": oracle(
             "SELECT CASE WHEN transaction_year < 2020 THEN '001' ELSE '1' END AS batch_id, "
