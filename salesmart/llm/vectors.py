@@ -38,7 +38,6 @@ PROBES = 3
 OCCUPANCY = 8
 CELL = 1024
 SEED = 7
-MOST_TABLES = 24
 # Buckets up to this size are checked pair by pair, larger ones in matrix blocks.
 SMALL = 48
 
@@ -120,16 +119,18 @@ def plan(vectors: int, dim: int, threshold: float = THRESHOLD, recall: float = R
     axes = 2 << max(1, (dim - 1).bit_length())
     hashes = max(1, min(6, round(math.log(max(vectors, 1) / OCCUPANCY) / math.log(axes)))) if vectors > OCCUPANCY else 1
     miss = max(1e-6, 1 - meeting_chance(dim, threshold, hashes, probes))
-    return hashes, max(1, min(MOST_TABLES, math.ceil(math.log(1 - recall) / math.log(miss))))
+    return hashes, max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
 
-def _usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, label, x): rows that can link, components as doubles."""
+def _rows(vectors: DataFrame) -> DataFrame:
+    """(vec_id, label_id, dim, x, usable): components as doubles, -0.0 as 0.0; usable rows can link."""
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     some = F.exists(x, lambda v: v != 0)
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), x.alias("x")).where(
-        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & fine & some
+    usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & x.isNotNull() & fine & some
+    return vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label_id"), F.size(x).alias("dim"),
+        F.transform(x, lambda v: v + F.lit(0.0)).alias("x"), F.coalesce(usable, F.lit(False)).alias("usable"),
     )
 
 
@@ -245,15 +246,16 @@ def _cell(pdf: pd.DataFrame, threshold: float, tables: int, kind: str) -> pd.Dat
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, cell: int = CELL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row.
 
-    Rows that repeat a ``vec_id`` are vectors of their own that share their answer's component; a
-    row without an id is answered with no links and a null component.
+    Rows that repeat a ``vec_id`` are vectors of their own, whatever their labels and vectors: each is
+    answered by its own links, and only links join components, not a shared id. A row without an id is
+    answered with no links and a null component.
     """
-    usable = _usable(vectors)
-    # all that classes need of each other is label and components; -0.0 is 0.0
-    plain = F.transform("x", lambda v: v + F.lit(0.0))
+    rows = _rows(vectors)
+    member = rows.where("usable").drop("usable")
+    lonely = rows.where("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    # a class has a number of its own: one vec_id may come with several labels or vectors
     classes = stored(
-        usable.groupBy(F.col("label").cast("string").alias("label_id"), F.size("x").alias("dim"), plain.alias("x"))
-        .agg(F.min("vec_id").alias("id"), F.count("*").alias("n")),
+        member.groupBy("label_id", "dim", "x").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()),
         "vector-classes",
     )
     single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
@@ -272,24 +274,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
         links = part if links is None else links.unionByName(part)
         edges = tree if edges is None else edges.unionByName(tree)
     if links is None:
-        return vectors.select(
-            F.col("vec_id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
-            F.col("vec_id").cast("long").alias("component_id"), F.lit(True).alias("kept"),
-        )
+        return lonely.withColumn("kept", F.lit(True))
     joined = components(edges)
-    answers = (
-        classes.join(links, "id", "left").join(joined, F.col("id") == F.col("node"), "left")
-        .select("label_id", "dim", "x", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    small = classes.select("id", "least")
+    # the smallest vec_id of each component, by its class numbers
+    lowest = joined.join(small, F.col("id") == F.col("node")).groupBy("component").agg(F.min("least").alias("component_id"))
+    named = joined.join(lowest, "component").select(F.col("node").alias("id"), "component_id")
+    answers = classes.join(links, "id", "left").join(named, "id", "left").select(
+        "label_id", "dim", "x",
+        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        F.coalesce("component_id", "least").alias("component_id"),
     )
-    # ids find their class through the vector once more; hot classes are split by adaptive joins
-    member = usable.select("vec_id", F.col("label").cast("string").alias("label_id"), F.size("x").alias("dim"), plain.alias("x"))
-    known = member.join(answers, ["label_id", "dim", "x"]).groupBy("vec_id").agg(
-        F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")
-    )
-    own_id = F.col("vec_id").cast("long").alias("vec_id")
-    return vectors.select(own_id).join(known, "vec_id", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"),
-    ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    # rows find their class through the vector once more; hot classes are split by adaptive joins
+    known = member.join(answers, ["label_id", "dim", "x"]).select("vec_id", "n_links", "component_id")
+    return known.unionByName(lonely).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def _linked(classes: DataFrame, hasher: CrossPolytope, kind: str, threshold: float, cell: int) -> DataFrame:

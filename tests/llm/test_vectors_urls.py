@@ -57,8 +57,40 @@ def test_links_and_components(spark, cell):
     assert np.mean([got[k][1] == want[k][1] for k in want]) > 0.97
 
 
+def rows_by_hand(rows, threshold=0.93):
+    """(vec_id, n_links, component_id) of each row; rows of one id are vectors of their own."""
+    numbered = [(k, v, label) for k, (_, v, label) in enumerate(rows)]
+    found = by_hand(numbered, threshold)
+    least = {}
+    for k, (vec_id, _, _) in enumerate(rows):
+        root = found[k][1]
+        least[root] = min(least.get(root, vec_id), vec_id)
+    return sorted((vec_id, found[k][0], least[found[k][1]]) for k, (vec_id, _, _) in enumerate(rows))
+
+
+def test_one_id_with_several_labels_and_vectors(spark):
+    near = [[1.0, 0.02 * k] + [0.0] * 6 for k in range(4)]
+    rows = [(1, near[0], 0), (2, near[1], 0), (1, near[2], 1), (3, near[3], 1)]
+    # one id with unlike vectors of one label, links on both sides
+    rows += [(9, [0.0, 0.0, 1.0] + [0.0] * 5, 0), (9, [0.0] * 3 + [1.0] + [0.0] * 4, 0), (5, [0.0, 0.0, 1.0, 0.1] + [0.0] * 4, 0), (7, [0.0, 0.0, 0.1, 1.0] + [0.0] * 4, 0)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == rows_by_hand(rows)
+    assert got[:4] == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_random_rows_that_share_ids(spark):
+    rows = [(k % 40, v, label) for k, v, label in clustered(5, 300)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    want = rows_by_hand(rows)
+    assert sum(g[1] for g in got) >= 0.98 * sum(w[1] for w in want) and sum(g[1] for g in got) <= sum(w[1] for w in want)
+    assert sum(g == w for g, w in zip(got, want, strict=True)) > 0.95 * len(want)
+
+
 def test_recall_at_the_threshold():
     hashes, tables = vectors.plan(100_000, 64)
+    # no number of tables is cut short of the recall that was asked for
+    many = vectors.plan(100_000, 64, recall=0.999999)
+    assert 1 - (1 - vectors.meeting_chance(64, 0.93, many[0])) ** many[1] >= 0.999999
     assert 1 - (1 - vectors.meeting_chance(64, 0.93, hashes)) ** tables >= vectors.RECALL
     assert vectors.plan(10**10, 64)[0] > hashes
 
