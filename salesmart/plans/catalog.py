@@ -836,6 +836,20 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _ingested(spark, target, log)
 
 
+@query
+def stream_dumps(spark: SparkSession, folder: str) -> DataFrame:
+    """Dump files of two tables, each file with a block of its own, as a stream with both as sinks."""
+    root = new_folder(spark, "stream-dumps")
+    landing, target, log = f"{root}/in", f"{root}/raw", f"{root}/manifest"
+    names = ("mutation", "disposition")
+    trial = TrialTables(spark, folder)
+    for name in names:
+        write_copy_dump(trial.table(name).repartition(3), "dvf_plus_2025_2", f"dvf_plus_{name}", f"{landing}/{name}")
+    ingest.stream_cycle(spark, landing, target, log, f"{root}/checkpoint", ingest.dump_reader, "*.txt", 4)
+    both = (ingest.read_ingested(spark, target, t, log).drop(ingest.SOURCE).withColumn("table_name", F.lit(t)) for t in names)
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), both)
+
+
 @query
 def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     """A release of the years to 2023, overlaid by a newer release of the years from 2022."""

@@ -529,6 +529,9 @@ def build() -> dict[str, str]:
             "SELECT 'mutation' AS table_name, count(*) AS row_count FROM mutation", "mutation"),
         "chunk_cycle": raw_rows("mutation"),
         "stream_ingest": raw_rows("mutation"),
+        "stream_dumps": oracle(
+            "SELECT 'mutation' AS table_name, * REPLACE (CAST(anneemut AS VARCHAR) AS anneemut) FROM mutation "
+            "UNION ALL BY NAME SELECT 'disposition' AS table_name, * FROM disposition", "mutation", "disposition"),
         "reingest_subset": raw_rows("mutation", where="WHERE anneemut <> 2014"),
         "incremental_merge": oracle(
             "SELECT mutation_id, CASE WHEN transaction_year >= 2022 THEN 2 ELSE 1 END AS release, "

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from itertools import batched
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -50,13 +50,16 @@ def discover(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
     The role only orders the work: set-up files first, then shared reference data, then sales.
     """
+    return _listing(spark, folder, pattern).select(SOURCE, "path", "length", _role().alias("role"))
+
+
+def _role() -> Column:
     lower = F.lower(F.element_at(F.split("path", "/"), -1))
-    role = (
+    return (
         F.when(lower.contains("init"), "init")
         .when(lower.contains("annexe"), "reference")
         .otherwise("data")
     )
-    return _listing(spark, folder, pattern).select(SOURCE, "path", "length", role.alias("role"))
 
 
 Reader = Callable[[SparkSession, Sequence[str]], dict[str, DataFrame]]
@@ -72,7 +75,7 @@ def csv_reader(table: str) -> Reader:
 
 def dump_reader(spark: SparkSession, files: Sequence[str]) -> dict[str, DataFrame]:
     """Batches of dump files: every table found in them."""
-    dump = CopyDump(spark, list(files))
+    dump = CopyDump(spark, list(files), "*")  # whatever their names
     return {name: dump.table(name, lineage=True) for name in dump.tables()}
 
 
@@ -169,6 +172,62 @@ def reingest_subset(
     ingest_files(spark, files, target, manifest, read)
 
 
+def stream_cycle(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    manifest: str,
+    checkpoint: str,
+    read: Reader,
+    pattern: str = "*.csv",
+    files_per_trigger: int = DEFAULT_GROUP,
+) -> int:
+    """``chunk_cycle`` as a stream, for any reader: one micro-batch writes every table of its files.
+
+    What streams is the file listing, names without contents; its offsets are the file log in
+    ``checkpoint``. A micro-batch hands its files to ``read``, so a dump is cut into byte ranges of
+    its own and each table is opened where its blocks lie. All tables of a micro-batch are one
+    attempt and are recorded at once: one that dies on the way counts for nothing and runs again
+    with the same files. Set-up and reference files are a stream of their own that ends before the
+    data files start. A known file that changes is left to ``reingest_subset``, as in
+    ``chunk_cycle``; after a lost checkpoint the files that the manifest names are not read again. A
+    file of no bytes is not listed, by either.
+    Returns the number of micro-batches that wrote something.
+    """
+    listing = spark.read.format("binaryFile").load(folder).schema
+    done = 0
+
+    def run(wanted: Column, place: str, limit: dict[str, int]) -> None:
+        def keep(batch: DataFrame, _: int) -> None:
+            nonlocal done
+            waiting = resume_anti_join(batch.filter(wanted), read_manifest(spark, manifest))
+            # names of one micro-batch
+            files = sorted(r.path for r in waiting.select("path").collect())
+            for group in batched(files, files_per_trigger):
+                ingest_files(spark, group, target, manifest, read)
+                done += 1
+
+        query = (
+            spark.readStream.format("binaryFile")
+            .schema(listing)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", pattern)
+            .options(**limit)
+            .load(folder)
+            .select("path", F.col("_metadata.file_path").alias(SOURCE))  # contents are not read
+            .writeStream.foreachBatch(keep)
+            .option("checkpointLocation", place)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    early = _role() != "data"
+    run(early, f"{checkpoint}/reference", {})
+    run(~early, f"{checkpoint}/data", {"maxFilesPerTrigger": files_per_trigger})
+    return done
+
+
 def stream_ingest(
     spark: SparkSession,
     folder: str,

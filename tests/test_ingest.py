@@ -182,6 +182,84 @@ def test_dump_delivery_with_reference_files(spark, tmp_path):
     assert got == [(str(i), ["a", "b"]) for i in range(3)]
 
 
+def _deliver_dumps(folder, numbers):
+    folder.mkdir(parents=True, exist_ok=True)
+    for i in numbers:
+        (folder / f"dvf_plus_d{i:02d}.sql").write_text(
+            f"COPY dvf_plus_2025_2.dvf_plus_mutation (idmutation, l_par) FROM stdin;\n{i}\t{{a,b}}\n\\.\n"
+            f"COPY dvf_plus_2025_2.dvf_plus_disposition (iddispo, idmutation) FROM stdin;\n"
+            + "".join(f"{i}-{j}\t{i}\n" for j in range(i % 3 + 1)) + "\\.\n")
+
+
+def _all_tables(spark, target, log):
+    tables = ("mutation", "disposition", "ann_type_local")
+    return {t: sorted(map(str, ingest.read_ingested(spark, target, t, log).collect())) for t in tables}
+
+
+def test_dump_files_of_any_name_give_their_rows(spark, tmp_path):
+    _deliver_dumps(tmp_path / "in", range(2))
+    for path in (tmp_path / "in").iterdir():
+        path.rename(path.with_suffix(".txt"))
+    target, log = str(tmp_path / "raw"), str(tmp_path / "log")
+    assert ingest.chunk_cycle(spark, str(tmp_path / "in"), target, log, ingest.dump_reader, "*.txt") == 1
+    assert _totals(spark, log) == {"mutation": 2, "disposition": 3}
+
+
+def test_stream_of_dumps_equals_batches_after_a_crash(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in" / "delivery"
+    _deliver_dumps(folder, range(7))
+    (folder / "dvf_plus_init.sql").write_text("CREATE TABLE x ();\n")
+    (folder / "dvf_plus_d07.sql").write_text("")
+    (folder / "zz_dvf_plus_annexe.sql").write_text(
+        "COPY dvf_plus_annexe.ann_type_local (codtyploc, libtyploc) FROM stdin;\n1\tMaison\n2\tAppartement\n\\.\n")
+    landing, target, log = (str(tmp_path / x) for x in ("in", "raw", "log"))
+    ingest.chunk_cycle(spark, landing, target, log, ingest.dump_reader, "*.sql")
+    out, out_log, check = (str(tmp_path / x) for x in ("stream", "stream-log", "check"))
+    run = lambda read=ingest.dump_reader, place=check: ingest.stream_cycle(
+        spark, landing, out, out_log, place, read, "*.sql", 3)
+
+    # the second batch of data dies between its tables: one is written, the other never
+    class Broken:
+        @property
+        def write(self):
+            raise Killed
+
+    served = []
+
+    def dying(session, files):
+        served.append(files)
+        tables = ingest.dump_reader(session, files)
+        if len(served) == 3:
+            assert list(tables) == ["disposition", "mutation"]
+            tables["mutation"] = Broken()
+        return tables
+
+    with pytest.raises(Exception, match="Killed"):
+        run(dying)
+    assert all("annexe" in p or "init" in p for p in served[0])  # reference files come first
+    part = ingest.read_ingested(spark, out, "disposition", out_log)
+    assert part.select("idmutation").distinct().count() == len([p for p in served[1] if "d07" not in p])
+    failed = served[2]
+
+    def watched(session, files):
+        served.append(files)
+        return ingest.dump_reader(session, files)
+
+    assert run(watched) == 2
+    assert served[3] == failed  # the same micro-batch, once more
+    assert _all_tables(spark, out, out_log) == _all_tables(spark, target, log)
+    assert _totals(spark, out_log) == _totals(spark, log) == {"mutation": 7, "disposition": 13, "ann_type_local": 2}
+    names = manifest.read_manifest(spark, out_log).select("source_file").distinct().count()
+    assert names == 9  # the file without tables is done too; the one without bytes is no delivery
+    assert names == manifest.read_manifest(spark, log).select("source_file").distinct().count()
+    assert run() == 0
+    _deliver_dumps(folder, range(8, 10))
+    assert run() == 1
+    assert run(place=str(tmp_path / "fresh")) == 0  # a lost checkpoint repeats nothing
+    ingest.chunk_cycle(spark, landing, target, log, ingest.dump_reader, "*.sql")
+    assert _all_tables(spark, out, out_log) == _all_tables(spark, target, log)
+
+
 def test_roles(spark, tmp_path):
     for name in ("dvf_plus_init.sql", "dvf_plus_annexe.sql", "dvf_plus_d2A.sql"):
         (tmp_path / name).write_text("x")
