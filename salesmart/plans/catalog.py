@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions import geo, scalars
-from salesmart.operators import enrich, export, lookups, marts, quality, serving, staging
+from salesmart.operators import enrich, export, lookups, marts, quality, serving, sketches, staging
 from salesmart.plans.starschema import StarSchema
 from salesmart.session import new_folder
 from salesmart.sinks import clustered
@@ -579,6 +579,27 @@ def median_ppsqm_by_department(spark: SparkSession, folder: str) -> DataFrame:
     return serving.median_ppsqm_by_department(fact(spark, folder))
 
 
+def _stored_sketch(spark: SparkSession, folder: str, value: str) -> DataFrame:
+    """Counts per year and department of the published fact, written and read back."""
+    path = f"{new_folder(spark, 'sketch')}/{value}"
+    sketches.write_sketch(fact(spark, folder), [serving.YEAR, serving.DEPARTMENT], value, path)
+    return spark.read.parquet(path)
+
+
+@query
+def sketch_median_price_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _stored_sketch(spark, folder, serving.PRICE)
+    return _rounded(sketches.median(stored, [serving.YEAR], "median_price_eur"), "median_price_eur", 4)
+
+
+@query
+def sketch_median_ppsqm_by_department(spark: SparkSession, folder: str) -> DataFrame:
+    """Medians of a range of years, merged from what is stored for each year."""
+    stored = _stored_sketch(spark, folder, serving.PPSQM).filter(F.col(serving.YEAR).between(2019, 2022))
+    out = sketches.median(stored, [serving.DEPARTMENT], "median_price_per_sqm")
+    return _rounded(out, "median_price_per_sqm", 4)
+
+
 @query
 def ppsqm_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return serving.ppsqm_distribution(fact(spark, folder))

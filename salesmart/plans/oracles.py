@@ -331,6 +331,22 @@ def _fact(final: str) -> str:
     return oracle(final, "fct_transactions")
 
 
+def _banded_median(key: str, value: str, name: str, where: str = "TRUE") -> str:
+    """The middle amounts of each group by sorting, each put into the band of its first three digits."""
+    middle = (
+        "(c // w * w + CASE WHEN c < 0 THEN -1 ELSE 1 END * (w - 1)::DOUBLE / 2) / 100"
+    )
+    return _fact(
+        f"SELECT {key}, round((max(CASE WHEN i = (n - 1) // 2 THEN {middle} END) "
+        f"+ max(CASE WHEN i = n // 2 THEN {middle} END)) / 2, 4) AS {name}, max(n) AS n FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY c) - 1 AS i, "
+        f"count(*) OVER (PARTITION BY {key}) AS n, "
+        "CAST(rpad('1', CAST(greatest(length(CAST(abs(c) AS VARCHAR)) - 3, 0) + 1 AS INTEGER), '0') AS BIGINT) AS w FROM ("
+        f"SELECT {key}, CAST(round(CAST({value} AS DECIMAL(36, 6)) * 100, 0) AS BIGINT) AS c "
+        f"FROM fct_transactions WHERE {value} IS NOT NULL AND {where})) GROUP BY 1",
+    )
+
+
 def build() -> dict[str, str]:
     lat, lon = latlon_sql("point_x", "point_y", "coddep")
     sql: dict[str, str] = {
@@ -472,6 +488,10 @@ def build() -> dict[str, str]:
         "median_ppsqm_by_department": _fact(
             "SELECT department_code, round(median(price_per_sqm), 4) AS median_price_per_sqm "
             "FROM fct_transactions WHERE price_per_sqm IS NOT NULL GROUP BY 1"),
+        "sketch_median_price_by_year": _banded_median(
+            "transaction_year", "transaction_price_eur", "median_price_eur"),
+        "sketch_median_ppsqm_by_department": _banded_median(
+            "department_code", "price_per_sqm", "median_price_per_sqm", "transaction_year BETWEEN 2019 AND 2022"),
         "ppsqm_distribution": _fact(
             "SELECT least(floor(price_per_sqm / 500.0), 40) * 500.0 AS band_start, "
             "count(*) AS transaction_count FROM fct_transactions WHERE price_per_sqm IS NOT NULL GROUP BY 1"),
