@@ -757,6 +757,14 @@ def polygon_centroid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def spherical_centroid(spark: SparkSession, folder: str) -> DataFrame:
+    centre = geo.spherical_centroid(F.col("geometry"))
+    return _shapes(spark, folder).select("code", centre.alias("c")).select(
+        "code", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat")
+    )
+
+
 # --- incremental ingestion --------------------------------------------------------------------
 
 

@@ -331,6 +331,45 @@ def _fact(final: str) -> str:
     return oracle(final, "fct_transactions")
 
 
+def _spherical_centroid() -> str:
+    """Edges of all rings as rows, with their arcs; rings and shapes are grouped again."""
+    rings = "from_json(geometry->'$.coordinates', '{}')"
+    deep = '[[[["DOUBLE"]]]]'
+    flat = '[[["DOUBLE"]]]'
+    d = lambda p, n: f"({p}{n} - o{n})"
+    near = {
+        "x": f"{d('p', 'y')} * {d('q', 'z')} - {d('p', 'z')} * {d('q', 'y')}",
+        "y": f"{d('p', 'z')} * {d('q', 'x')} - {d('p', 'x')} * {d('q', 'z')}",
+        "z": f"{d('p', 'x')} * {d('q', 'y')} - {d('p', 'y')} * {d('q', 'x')}",
+    }
+    normal = {"x": "py * qz - pz * qy", "y": "pz * qx - px * qz", "z": "px * qy - py * qx"}
+    axes = ("x", "y", "z")
+    return oracle(
+        "SELECT * FROM (WITH shapes AS (SELECT row_number() OVER () AS id, coalesce(code, '?' || nom) AS code, "
+        f"CASE WHEN NOT is_valid THEN NULL WHEN geometry->>'$.type' = 'Polygon' THEN [{rings.format(flat)}] "
+        f"ELSE {rings.format(deep)} END AS polygons FROM commune_shapes), "
+        "parts AS (SELECT id, unnest(polygons) AS polygon, generate_subscripts(polygons, 1) AS part FROM shapes), "
+        "rings AS (SELECT id, part, unnest(polygon) AS ring, generate_subscripts(polygon, 1) AS r FROM parts), "
+        "points AS (SELECT id, part, r, unnest(ring) AS spot, generate_subscripts(ring, 1) AS i FROM rings), "
+        "units AS (SELECT id, part, r, i, cos(radians(spot[2])) * cos(radians(spot[1])) AS px, "
+        "cos(radians(spot[2])) * sin(radians(spot[1])) AS py, sin(radians(spot[2])) AS pz FROM points), "
+        "edges AS (SELECT *, " + ", ".join(f"lead(p{n}) OVER w AS q{n}, first(p{n}) OVER w AS o{n}" for n in axes)
+        + " FROM units WINDOW w AS (PARTITION BY id, part, r ORDER BY i)), "
+        "arcs AS (SELECT *, " + ", ".join(f"{normal[n]} AS n{n}" for n in axes) + ", px * qx + py * qy + pz * qz AS dot FROM edges), "
+        "known AS (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) AS sine FROM arcs), "
+        "weighed AS (SELECT *, CASE WHEN sine < 1e-3 AND dot > 0 THEN sine * sine / 6 + 3 * sine ** 4 / 40 "
+        "ELSE atan2(sine, dot) / sine - 1 END AS more FROM known), "
+        "vectors AS (SELECT id, part, r, " + ", ".join(f"sum({near[n]} + more * n{n}) AS v{n}, sum(p{n}) AS m{n}" for n in axes)
+        + " FROM weighed GROUP BY 1, 2, 3), "
+        "whole AS (SELECT id, " + ", ".join(
+            f"sum(CASE WHEN r = 1 THEN 1 ELSE -1 END * CASE WHEN vx * mx + vy * my + vz * mz < 0 THEN -1 ELSE 1 END * v{n}) AS c{n}" for n in axes)
+        + " FROM vectors GROUP BY 1) "
+        "SELECT code, round(degrees(atan2(cy, cx)), 6) AS lon, "
+        "round(degrees(atan2(cz, sqrt(cx * cx + cy * cy))), 6) AS lat FROM shapes LEFT JOIN whole USING (id))",
+        "commune_shapes",
+    )
+
+
 def _banded_median(key: str, value: str, name: str, where: str = "TRUE") -> str:
     """The middle amounts of each group by sorting, each put into the band of its first three digits."""
     middle = (
@@ -544,6 +583,7 @@ def build() -> dict[str, str]:
         "polygon_centroid": oracle(
             "SELECT coalesce(code, '?' || nom) AS code, round(cx, 6) AS lon, round(cy, 6) AS lat "
             "FROM commune_shapes", "commune_shapes"),
+        "spherical_centroid": _spherical_centroid(),
         # ingestion
         "manifest_read_write": oracle(
             "SELECT 'mutation' AS table_name, count(*) AS row_count FROM mutation", "mutation"),

@@ -1,6 +1,8 @@
+import json
 import math
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +30,77 @@ def test_centroids(spark):
         assert a == pytest.approx(b)
 
 
+def _polygon(*rings):
+    return json.dumps({"type": "Polygon", "coordinates": rings})
+
+
+def _spherical(spark, shapes):
+    df = spark.createDataFrame(list(enumerate(shapes)), "i int, g string")
+    rows = df.select("i", geo.spherical_centroid(F.col("g")).alias("c")).orderBy("i").collect()
+    return [r.c and (r.c.lon, r.c.lat) for r in rows]
+
+
+def test_spherical_centroids_of_closed_form(spark):
+    octant = [[0, 0], [90, 0], [0, 90], [0, 0]]
+    cap = [[k * 10 - 180, 60] for k in range(36)] + [[-180, 60]]
+    south = [[k * 30 - 180, -80] for k in range(12)] + [[-180, -80]]
+    line = [[179, -1], [-179, -1], [-179, 1], [179, 1], [179, -1]]
+    lune = [[10, 0], [10, 90], [50, 0], [10, 0]]
+    got = _spherical(spark, [_polygon(octant), _polygon(octant[::-1]), _polygon(cap), _polygon(south), _polygon(line), _polygon(lune)])
+    corner = math.degrees(math.asin(1 / math.sqrt(3)))
+    assert got[0] == pytest.approx((45, corner)) and got[1] == pytest.approx((45, corner))
+    assert got[2][1] == pytest.approx(90) and got[3][1] == pytest.approx(-90)
+    assert abs(got[4][0]) == pytest.approx(180) and got[4][1] == pytest.approx(0, abs=1e-12)
+    # a triangle of the pole and a stretch of the equator: integrals of x, y and z by hand
+    wide = math.radians(40)
+    flat, up = math.pi / 4 * 2 * math.sin(wide / 2), wide / 2
+    assert got[5] == pytest.approx((30, math.degrees(math.atan2(up, flat))))
+
+
+def test_spherical_centroid_against_many_points(spark):
+    rng = np.random.default_rng(4)
+    ring = [[0, 30], [40, 20], [60, 55], [25, 70], [0, 30]]
+    hole = [[20, 35], [20, 45], [35, 45], [35, 35], [20, 35]]
+
+    def unit(lon, lat):
+        lon, lat = np.radians(lon), np.radians(lat)
+        return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], -1)
+
+    def inside(points, corners):  # convex, counterclockwise: left of every arc
+        u = unit(*np.array(corners, float).T)
+        area = sum(np.cross(a, b) for a, b in zip(u, u[1:]))
+        turn = 1 if area @ u.sum(axis=0) > 0 else -1
+        return np.all([turn * (points @ np.cross(a, b)) > 0 for a, b in zip(u, u[1:])], axis=0)
+
+    points = rng.normal(size=(2_000_000, 3))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    kept = points[inside(points, ring) & ~inside(points, hole)].mean(axis=0)
+    want = math.degrees(math.atan2(kept[1], kept[0])), math.degrees(math.atan2(kept[2], math.hypot(*kept[:2])))
+    assert _spherical(spark, [_polygon(ring, hole)])[0] == pytest.approx(want, abs=0.15)
+
+
+def test_spherical_and_planar_meet_for_small_shapes(spark):
+    shapes = [
+        _polygon([[lon, lat], [lon + w, lat], [lon + w, lat + w], [lon, lat + w], [lon, lat]])
+        for lon, lat in ((2.3, 48.8), (-61.5, 16.2), (55.4, -21.1)) for w in (0.1, 0.001, 0.0001)
+    ]
+    df = spark.createDataFrame(list(enumerate(shapes)), "i int, g string")
+    flat = [(r.c.lon, r.c.lat) for r in df.select("i", geo.polygon_centroid(F.col("g")).alias("c")).orderBy("i").collect()]
+    for (a, b), (c, d), text in zip(_spherical(spark, shapes), flat, shapes):
+        width = json.loads(text)["coordinates"][0][1][0] - json.loads(text)["coordinates"][0][0][0]
+        # the top of a box is narrower than its foot: a shift that falls with the square of the width
+        # the last bits of unit vectors are a millimetre for a box of eleven metres
+        assert abs(a - c) < 1e-8 and abs(b - d) < 0.01 * width * width + 1e-8
+
+
+def test_spherical_centroid_of_bad_and_flat_shapes(spark):
+    flat = _polygon([[5, 5], [5, 5], [5, 5], [5, 5]])
+    opposite = _polygon([[0, 0], [180, 0], [90, 45], [0, 0]])
+    got = _spherical(spark, [*BAD, flat, opposite, PAIR])
+    assert got[: len(BAD)] == [None] * len(BAD) and got[len(BAD)] is None
+    assert got[-1] == pytest.approx((6, 1), abs=2e-2)
+
+
 def test_bad_geometry_is_null_and_keeps_its_row(spark):
     df = spark.createDataFrame([(t,) for t in BAD], "g string")
     out = df.select(geo.geojson_parse(F.col("g")).alias("p"), geo.polygon_centroid(F.col("g")).alias("c")).collect()
