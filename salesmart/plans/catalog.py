@@ -192,6 +192,15 @@ def read_clustered(spark: SparkSession, folder: str) -> DataFrame:
     return rows.drop(sinks.YEAR_BUCKET)
 
 
+@query
+def delete_rows_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """The published fact without all departments but three, deleted in files that hold others."""
+    path = clustered_fact(spark, folder)
+    departments = export.check_departments(["13", "2A", "75"])
+    clustered.delete_rows(spark, path, F.col("department_code").isin(departments))
+    return clustered.read_clustered(spark, path).drop(sinks.YEAR_BUCKET)
+
+
 @query
 def write_truncate(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "truncate")

@@ -414,6 +414,7 @@ def build() -> dict[str, str]:
         "read_clustered": _fact(
             "SELECT * FROM fct_transactions WHERE transaction_year BETWEEN 2018 AND 2020 "
             "AND property_type_label IN ('UNE MAISON', 'UN APPARTEMENT') AND department_code IN ('13', '75')"),
+        "delete_rows_clustered": _fact("SELECT * FROM fct_transactions WHERE department_code IN ('13', '2A', '75')"),
         "write_truncate": model_oracle("stg_dispositions"),
         "write_chunk": oracle(
             "SELECT CASE WHEN transaction_year < 2020 THEN '001' ELSE '1' END AS batch_id, "

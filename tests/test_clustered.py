@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.sinks import tables as sinks
-from salesmart.sinks.clustered import chosen_files, read_clustered, write_clustered
+from salesmart.sinks import clustered
+from salesmart.sinks.clustered import chosen_files, delete_rows, drop_superseded, read_clustered, write_clustered
 
 COLUMNS = "mutation_id long, transaction_year long, department_code string, property_type_code string, v double"
 
@@ -90,3 +91,55 @@ def test_empty_table_and_failed_write(spark, tmp_path):
     with pytest.raises(Exception, match="no number"):
         write_clustered(one.withColumn("v", F.raise_error(F.lit("no number")).cast("double")), path)
     assert read_clustered(spark, path).count() == 1
+
+
+def test_deletion_rewrites_only_the_files_with_such_rows(spark, tmp_path, small_files):
+    path = str(tmp_path / "cow")
+    df = sales(spark).drop("v")
+    write_clustered(df, path)
+    before, keep = set(chosen_files(spark, path)), F.col("department_code") != "13"
+    reader = read_clustered(spark, path)  # began before the deletion
+    touched = delete_rows(spark, path, keep)
+    after = set(chosen_files(spark, path))
+    held = {f"{path}/data/{f}" for f in touched}
+    assert held and len(held) < len(before) / 2
+    assert before - after == held and before & after == before - held
+    want = sorted(map(tuple, df.where(keep).collect()))
+    got = read_clustered(spark, path).drop(sinks.YEAR_BUCKET)
+    assert sorted(map(tuple, got.select(*df.columns).collect())) == want
+    assert reader.count() == 60000
+    assert delete_rows(spark, path, keep) == [] and set(chosen_files(spark, path)) == after
+    assert set(drop_superseded(spark, path)) == set(touched)
+    assert read_clustered(spark, path).count() == len(want)
+    # a filter still chooses few files
+    assert len(chosen_files(spark, path, (2023, 2023), {"department_code": ["14"]})) <= 2
+
+
+def test_a_deletion_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dies")
+    write_clustered(sales(spark, 3000), path)
+    files = chosen_files(spark, path)
+
+    def crash(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(clustered, "_file_map", crash)
+        with pytest.raises(RuntimeError):
+            delete_rows(spark, path, F.col("department_code") == "75")
+    assert chosen_files(spark, path) == files and read_clustered(spark, path).count() == 3000
+    assert len(drop_superseded(spark, path)) > 0 and read_clustered(spark, path).count() == 3000
+
+
+def test_deletion_of_nulls_and_of_everything(spark, tmp_path):
+    rows = [(1, 2020, "75", "111", 1.0), (2, 2020, None, "111", 1.0), (3, None, "75", None, 1.0), (1, 2020, "75", "111", 1.0)]
+    path = str(tmp_path / "nulls")
+    write_clustered(spark.createDataFrame(rows, COLUMNS), path)
+    delete_rows(spark, path, F.col("department_code").isin("75"))
+    assert sorted(r.mutation_id for r in read_clustered(spark, path).collect()) == [1, 1, 3]
+    assert len(delete_rows(spark, path, F.lit(False))) > 0
+    empty = read_clustered(spark, path)
+    assert empty.count() == 0 and empty.columns[:5] == [c.split()[0] for c in COLUMNS.split(", ")]
+    assert delete_rows(spark, path, F.lit(False)) == []
+    write_clustered(spark.createDataFrame([], COLUMNS), path)
+    assert read_clustered(spark, path).count() == 0
