@@ -10,8 +10,10 @@ the counts, and each of them is answered. Rows without an id keep all their line
 (key, documents, smallest document), both exact, and ``filters``, one cuckoo filter per shard of
 keys that at least two documents hold. Documents can be added and taken out in batches, and a
 deletion brings back lines whose other holder went. Filters answer most lines without touching
-the exact tables: only lines that a filter may hold are shuffled to them. Filters are broadcast
-while their measured size is below ``BROADCAST_BYTES``; beyond it the counts are joined directly.
+the exact tables: only lines that a filter may hold are shuffled to them. Filters are broadcast, at
+most ``BROADCAST_BYTES`` of them at a time: where they are larger, the keys of the documents are
+written once, dealt by groups of shards without an exchange, and each group is asked with the
+broadcast of its own filters, one after the other.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.components import stored
 from salesmart.llm.cuckoo import CuckooFilter
 from salesmart.llm.texts import LOWER, column, encoded, keyed, slices
+from salesmart.session import new_folder
 
 MIN_LENGTH = 10
 SHARD_KEYS = 65_536
@@ -159,11 +162,9 @@ class LineStore:
         gone = stored(self.postings.join(ids, "doc_id", "left_semi").select("hi", "lo").distinct(), "line-touched")
         self._put(stored(self.postings.join(ids, "doc_id", "left_anti"), "line-postings"), gone)
 
-    def _maybe_shared(self, docs: DataFrame) -> DataFrame:
-        size = self.filters.agg(F.sum(F.length("table") + F.length("overflow"))).first()[0] or 0
-        if size > self.broadcast:
-            return _keys(docs, self.least, lambda hi, lo: np.ones(len(hi), bool))
-        rows = {r.shard: (bytes(r.table), bytes(r.overflow)) for r in self.filters.collect()}
+    def _probe(self, filters: DataFrame):
+        """Answers which keys these filters may hold; the filters travel as one broadcast."""
+        rows = {r.shard: (bytes(r.table), bytes(r.overflow)) for r in filters.collect()}
         shared, shards, loaded = self.spark.sparkContext.broadcast(rows), self.shards, {}
 
         def probe(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -176,7 +177,31 @@ class LineStore:
                     found[own] = loaded[k].contains(hi[own], lo[own])
             return found
 
-        return _keys(docs, self.least, probe)
+        return probe, shared
+
+    def _maybe_shared(self, docs: DataFrame) -> DataFrame:
+        size = self.filters.agg(F.sum(F.length("table") + F.length("overflow"))).first()[0] or 0
+        groups = min(self.shards, max(1, -(-size // max(1, self.broadcast))))
+        if groups == 1:
+            return _keys(docs, self.least, self._probe(self.filters)[0])
+        group = lambda shard: F.pmod(shard, F.lit(groups)).cast("int")
+        place = new_folder(self.spark, "line-keys")
+        keys = _keys(docs, self.least, lambda hi, lo: np.ones(len(hi), bool))
+        keys.withColumn("part", group(_shard(self.shards))).write.partitionBy("part").parquet(place)
+        # each group's answer is written before the next group's filters are sent
+        found = new_folder(self.spark, "line-keys-found")
+        for k in range(groups):
+            probe, sent = self._probe(self.filters.where(group(F.col("shard")) == k))
+
+            def run(batches: Iterator[pa.RecordBatch], probe=probe) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    hi, lo = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("hi", "lo"))
+                    yield batch.filter(pa.array(probe(hi, lo)))
+
+            own = self.spark.read.schema(f"{_KEYS}, part int").parquet(place).where(F.col("part") == k)
+            own.select("doc_id", "hi", "lo").mapInArrow(run, _KEYS).write.parquet(f"{found}/part={k}")
+            sent.destroy()
+        return self.spark.read.schema(f"{_KEYS}, part int").parquet(found).drop("part")
 
     def lost_lines(self, docs: DataFrame) -> DataFrame:
         """(doc_id, lost): packed 128-bit keys that each document gives up, for documents that do."""

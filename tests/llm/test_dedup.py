@@ -49,6 +49,26 @@ def test_lines_match_brute_force(spark, broadcast):
     assert answers(store.dedup(df)) == lines_by_hand(docs)
 
 
+def test_filters_beyond_the_broadcast_are_asked_group_by_group(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 40)
+    r = random.Random(6)
+    pool = [f"a line that some share, number {k}" for k in range(300)]
+    # one line stands in every document
+    docs = [(i, "\n".join(["a line that all share", *(r.choice([*pool, f"a line of its own {r.random()}"]) for _ in range(12))])) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole, parts = line_dedup.LineStore(spark), line_dedup.LineStore(spark, broadcast=300)
+    for store in (whole, parts):
+        store.insert(df)
+    assert parts.shards > 4
+    size = sum(len(x.table) + len(x.overflow) for x in parts.filters.collect())
+    assert size > 3 * 300
+    one, other = (sorted(map(tuple, s._maybe_shared(df).collect())) for s in (whole, parts))
+    assert one == other  # the same filters answer, none is passed over
+    everything = line_dedup._keys(df, 10, lambda hi, lo: np.ones(len(hi), bool)).count()
+    assert len(other) < everything
+    assert answers(parts.dedup(df)) == lines_by_hand(docs)
+
+
 def test_lines_in_batches_and_back(spark):
     docs = random_docs(2)
     make = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
