@@ -91,7 +91,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def host_scores(seeds: DataFrame, links: DataFrame, rounds: int | None = ROUNDS, damping: float = DAMPING, rest: float = REST) -> DataFrame:
+def host_scores(seeds: DataFrame, links: DataFrame, rounds: int | None = None, damping: float = DAMPING, rest: float = REST) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) by personalised PageRank.
 
     Seeds give their weight anew in each round; what reaches a host without links onward ends there.

@@ -162,6 +162,7 @@ def test_page_rank_by_hand(spark):
         for x in url_filter.host_scores(
             spark.createDataFrame(seeds, "host string, trust double, distrust double"),
             spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, n long"),
+            rounds=url_filter.ROUNDS,
         ).collect()
     }
     for side, ways in ((0, edges), (1, {(b, a): n for (a, b), n in edges.items()})):
