@@ -118,9 +118,27 @@ def ingest_files(
     manifest: str,
     read: Reader,
 ) -> DataFrame:
-    """One batch of files, given by readable paths. Returns their counts."""
-    listed = _listing(spark, list(files))
-    return _record(spark, listed, read(spark, files), target, manifest)
+    """One batch of files, given by readable paths. Returns their counts.
+
+    A file of no bytes, which Spark's readers pass over, has no rows: its earlier ones are gone.
+    """
+    empty = _without_bytes(spark, files)
+    filled = [p for p in files if p not in empty]
+    none = spark.createDataFrame([(name,) for name in empty.values()], f"{SOURCE} string")
+    listed = _listing(spark, filled).select(SOURCE).unionByName(none) if filled else none
+    return _record(spark, listed, read(spark, filled) if filled else {}, target, manifest)
+
+
+def _without_bytes(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """Path -> the name its rows would carry, of the empty ones among the files of a batch."""
+    found = {}
+    for path in files:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+        if status.isFile() and status.getLen() == 0:
+            # through its text, as Spark names files: file:/x, not file:///x
+            found[path] = spark._jvm.org.apache.hadoop.fs.Path(status.getPath().toString()).toUri().toString()
+    return found
 
 
 def read_ingested(spark: SparkSession, target: str, table: str, manifest: str) -> DataFrame:

@@ -90,6 +90,21 @@ def test_reingest_replaces_only_its_files(spark, places, tmp_path):
     assert _totals(spark, log) == {"t": len(want)}
 
 
+@pytest.mark.parametrize("name", ["dvf_d03.csv", "vente é 1.csv", "a%20b+c.csv"])
+def test_a_file_cut_to_no_bytes_loses_its_rows(spark, places, tmp_path, name):
+    landing, target, log = places
+    read, path = ingest.csv_reader("t"), tmp_path / "in" / name
+    path.write_text("k,v\n3-0,x\n3-1,x\n3-2,x\n")
+    ingest.chunk_cycle(spark, landing, target, log, read)
+    path.write_text("")
+    ingest.reingest_subset(spark, [str(path)], target, log, read)  # alone: no table at all is read
+    (tmp_path / "in" / "dvf_d07.csv").write_text("")
+    ingest.reingest_subset(spark, [str(tmp_path / "in" / f"dvf_d{i}.csv") for i in ("07", "11")], target, log, read)
+    hidden = ("7-",) if name != "dvf_d03.csv" else ("3-", "7-")
+    want = [k for k in _truth() if not k.startswith(hidden)]
+    assert _rows(spark, target, log) == want and _totals(spark, log)["t"] == len(want)
+
+
 @pytest.mark.parametrize("name", ["dvf_initial_d01.csv", "sales_definitive.csv", "vente é 1.csv", "a%20b+c.csv"])
 def test_no_name_hides_a_file(spark, tmp_path, name):
     (tmp_path / "in").mkdir()
