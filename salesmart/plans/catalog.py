@@ -27,7 +27,7 @@ from salesmart.sources.contracts import (
 )
 from salesmart.sources.copy_dump import CopyDump, write_copy_dump
 from salesmart.sources.trial_points import point_ewkb, srid_of
-from salesmart.sources.trial_tables import TrialTables
+from salesmart.sources.trial_tables import TrialTables, raw_columns
 from salesmart.streaming import ingest, manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -874,15 +874,26 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return _ingested(spark, target, log)
 
 
+# Fields of one dump file, about 150 MB of shuffled rows: one task writes a file.
+_DUMP_FIELDS = 20_000_000
+
+
+def _dump_files(trial: TrialTables, name: str, key: str, fields: int = _DUMP_FIELDS) -> int:
+    """Files to deliver a table in: at least three, and more as it grows, so that a file never does."""
+    rows = trial.table(name, (key,)).count()
+    return max(3, -(-rows * len(raw_columns(name)) // fields))
+
+
 @query
 def stream_dumps(spark: SparkSession, folder: str) -> DataFrame:
     """Dump files of two tables, each file with a block of its own, as a stream with both as sinks."""
     root = new_folder(spark, "stream-dumps")
     landing, target, log = f"{root}/in", f"{root}/raw", f"{root}/manifest"
-    names = ("mutation", "disposition")
+    names = {"mutation": "idmutation", "disposition": "iddispo"}
     trial = TrialTables(spark, folder)
-    for name in names:
-        write_copy_dump(trial.table(name).repartition(3), "dvf_plus_2025_2", f"dvf_plus_{name}", f"{landing}/{name}")
+    for name, key in names.items():
+        rows = trial.table(name).repartition(_dump_files(trial, name, key))
+        write_copy_dump(rows, "dvf_plus_2025_2", f"dvf_plus_{name}", f"{landing}/{name}")
     ingest.stream_cycle(spark, landing, target, log, f"{root}/checkpoint", ingest.dump_reader, "*.txt", 4)
     both = (ingest.read_ingested(spark, target, t, log).drop(ingest.SOURCE).withColumn("table_name", F.lit(t)) for t in names)
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), both)

@@ -275,6 +275,30 @@ def test_stream_of_dumps_equals_batches_after_a_crash(spark, tmp_path, monkeypat
     assert _all_tables(spark, out, out_log) == _all_tables(spark, target, log)
 
 
+def test_dump_files_of_a_delivery_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    from salesmart.plans import catalog
+
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 4 AS o_custkey", "1.5D AS o_totalprice").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.range(90).selectExpr(
+        "id % 40 AS l_orderkey", "id AS l_linenumber", "id AS l_partkey", "1L AS l_suppkey", "2.5D AS l_extendedprice",
+        "1D AS l_quantity", "'O' AS l_linestatus", "'N' AS l_returnflag").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(4).selectExpr("id AS c_custkey", "CAST(id AS INT) AS c_nationkey").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    trial, fields = catalog.TrialTables(spark, str(tmp_path)), {"mutation": 31 * 10, "disposition": 6 * 10}
+    monkeypatch.setattr(catalog._dump_files, "__defaults__", (60,))
+    assert catalog._dump_files(trial, "disposition", "iddispo") == 9
+    assert catalog._dump_files(trial, "mutation", "idmutation", fields["mutation"]) == 4
+    assert catalog._dump_files(trial, "mutation", "idmutation", 10**6) == 3
+    written = []
+    write = catalog.write_copy_dump
+    monkeypatch.setattr(catalog, "write_copy_dump", lambda df, *a: (write(df, *a), written.append(df.rdd.getNumPartitions())))
+    monkeypatch.setattr(catalog, "_dump_files", lambda trial, name, key, real=catalog._dump_files: real(trial, name, key, fields[name]))
+    rows = catalog.stream_dumps(spark, str(tmp_path))
+    assert written == [4, 9]
+    assert {r[0]: r[1] for r in rows.groupBy("table_name").count().collect()} == {"mutation": 40, "disposition": 90}
+
+
 def test_roles(spark, tmp_path):
     for name in ("dvf_plus_init.sql", "dvf_plus_annexe.sql", "dvf_plus_d2A.sql"):
         (tmp_path / name).write_text("x")
