@@ -168,59 +168,84 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
-_OWN = "own"
+_OWN = 0  # slot of a domain's own values; its relationships have slots from 1
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _keys_of(df: DataFrame, model: str, checks: list[Check]) -> DataFrame | None:
-    """(domain, key, role) rows that a model gives to the set checks, in one scan.
+def _domain(check: Check) -> str:
+    """The values that a set check is about: a column that must be unique or is referred to;
+    unexpected values are a domain of their own."""
+    if check.test == "relationships":
+        return f"{check.to}.{check.field}"
+    return f"{'values of ' if check.test == 'accepted_values' else ''}{check.model}.{check.column}"
 
-    A domain is a column whose values must be unique or be referred to. Its own model gives its
-    values under the role "own"; a relationship gives the child's values under its number.
-    Unexpected values are a domain of their own.
+
+def _cells(models: Mapping[str, DataFrame], checks: list[Check]) -> tuple[dict[str, dict[tuple[str, int], Column]], dict[int, int]]:
+    """Model -> (domain, slot) -> the values it gives, and the slot of each relationship's number.
+
+    A domain's own model gives its values in slot 0; each relationship gives the child's values in
+    a slot of its own.
     """
-    cells: dict[tuple[str, str], Column] = {}
+    cells: dict[str, dict[tuple[str, int], Column]] = {}
+    slots: dict[int, int] = {}
+    taken: dict[str, int] = {}
     for number, check in enumerate(checks):
-        if check.test == "unique" and check.model == model:
-            cells[f"{model}.{check.column}", _OWN] = F.col(check.column)
-        elif check.test == "relationships":
-            if check.to == model:
-                cells[f"{model}.{check.field}", _OWN] = F.col(check.field)
-            if check.model == model:
-                cells[f"{check.to}.{check.field}", str(number)] = F.col(check.column)
-        elif check.test == "accepted_values" and check.model == model:
-            bad = F.when(~F.col(check.column).isin(*check.values), F.col(check.column))
-            cells[f"values of {model}.{check.column}", _OWN] = bad
-    if not cells:
-        return None
-    rows = [
-        F.struct(F.lit(d).alias("domain"), F.lit(r).alias("role"), c.cast("string").alias("key"))
-        for (d, r), c in cells.items()
+        domain, value = _domain(check), models[check.model][check.column]
+        if check.test == "relationships":
+            taken[domain] = slots[number] = taken.get(domain, _OWN) + 1
+            cells.setdefault(check.to, {})[domain, _OWN] = models[check.to][check.field]
+            cells.setdefault(check.model, {})[domain, slots[number]] = value
+        else:
+            kept = F.when(~value.isin(*check.values), value) if check.test == "accepted_values" else value
+            cells.setdefault(check.model, {})[domain, _OWN] = kept
+    return cells, slots
+
+
+def _keyed(models: Mapping[str, DataFrame], cells: Mapping[str, Mapping[tuple[str, int], Column]], numbers: Mapping[str, int]) -> DataFrame:
+    """(domain, slot, whole, text) rows, one scan a model: keys of a domain are whole numbers if
+    they are so (or dates) wherever they come from, else text."""
+    typed = {m: models[m].select(*[c.alias(f"c{i}") for i, c in enumerate(own.values())]) for m, own in cells.items()}
+    kinds: dict[str, set[str]] = {}
+    for m, own in cells.items():
+        for (domain, _), (_, kind) in zip(own, typed[m].dtypes, strict=True):
+            kinds.setdefault(domain, set()).add("whole" if kind in _WHOLE else kind)
+
+    def cell(domain: str, slot: int, name: str) -> Column:
+        value, none = F.col(name), F.lit(None)
+        if kinds[domain] == {"whole"}:
+            whole, text = value.cast("long"), none.cast("string")
+        elif kinds[domain] == {"date"}:
+            whole, text = F.unix_date(value).cast("long"), none.cast("string")
+        else:
+            whole, text = none.cast("long"), value.cast("string")
+        return F.struct(F.lit(numbers[domain]).alias("domain"), F.lit(slot).alias("slot"), whole.alias("whole"), text.alias("text"))
+
+    parts = [
+        typed[m].select(F.inline(F.array(*[cell(*key, f"c{i}") for i, key in enumerate(own)])))
+        for m, own in cells.items()
     ]
-    return df.select(F.inline(F.array(*rows))).filter("key IS NOT NULL")
+    return reduce(DataFrame.unionByName, parts).filter("whole IS NOT NULL OR text IS NOT NULL")
 
 
 def _set_checks(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """All checks over groups of rows (repeated values, orphans, unexpected values): every model is
-    scanned once, and one two-phase grouping by (domain, key) serves them all."""
-    parts = [_keys_of(models[m], m, checks) for m in dict.fromkeys([c.model for c in checks] + [c.to for c in checks if c.to])]
-    keyed = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
-    links = [str(k) for k, c in enumerate(checks) if c.test == "relationships"]
-    per_key = keyed.groupBy("domain", "key").agg(
-        F.count_if(F.col("role") == _OWN).alias(_OWN),
-        *[F.count_if(F.col("role") == k).alias(f"n{k}") for k in links],
+    scanned once, and one two-phase grouping by (domain, key) serves them all. Nearly every key is
+    a row of that shuffle, so its rows are short: numbers, and as many counters as a domain needs."""
+    cells, slots = _cells(models, checks)
+    numbers = {d: n for n, d in enumerate(dict.fromkeys(map(_domain, checks)))}
+    links = range(1, max(slots.values(), default=_OWN) + 1)
+    per_key = _keyed(models, cells, numbers).groupBy("domain", "whole", "text").agg(
+        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in (_OWN, *links)]
     )
+    own = F.col(f"n{_OWN}")
     totals = per_key.groupBy("domain").agg(
-        F.count_if(F.col(_OWN) > 1).alias("repeated"),
-        F.count_if(F.col(_OWN) > 0).alias("present"),
-        *[F.sum(F.when(F.col(_OWN) == 0, F.col(f"n{k}")).otherwise(0)).alias(f"n{k}") for k in links],
+        F.count_if(own > 1).alias("repeated"),
+        F.count_if(own > 0).alias("present"),
+        *[F.sum(F.when(own == 0, F.col(f"n{k}")).otherwise(0)).alias(f"n{k}") for k in links],
     )
     rows = []
     for number, check in enumerate(checks):
-        domain, found = f"{check.model}.{check.column}", F.col("repeated")
-        if check.test == "relationships":
-            domain, found = f"{check.to}.{check.field}", F.col(f"n{number}")
-        elif check.test == "accepted_values":
-            domain, found = f"values of {domain}", F.col("present")
+        found = {"relationships": f"n{slots.get(number)}", "accepted_values": "present"}.get(check.test, "repeated")
         # a domain without any key has no row, and no failure
         rows.append(
             F.struct(
@@ -228,7 +253,7 @@ def _set_checks(models: Mapping[str, DataFrame], checks: list[Check]) -> DataFra
                 F.lit(check.column).alias("column"),
                 F.lit(check.test).alias("test"),
                 F.lit(check.severity).alias("severity"),
-                F.sum(F.when(F.col("domain") == domain, found).otherwise(0)).alias("failures"),
+                F.sum(F.when(F.col("domain") == numbers[_domain(check)], F.col(found)).otherwise(0)).alias("failures"),
             )
         )
     single = totals.agg(F.array(*rows).alias("checks"))

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.operators import quality
 from salesmart.operators.quality import Check
@@ -88,3 +89,21 @@ def test_missing_departments(spark):
     codes = spark.createDataFrame([(c,) for c in DEPARTMENTS if c not in ("2A", "971")] + [("00",), (None,)], "department_code string")
     assert sorted(r[0] for r in quality.dq_missing_departments(codes).collect()) == ["2A", "971"]
     assert {r.value for r in quality.dq_department_codes(codes).collect()} == {"00", None}
+
+
+def test_whole_number_keys_are_compared_as_numbers(spark):
+    child = spark.createDataFrame(
+        [(1, "1", "2020-01-01"), (1, "x", "2020-01-02"), (7, "7", None), (None, None, "2021-01-01")],
+        "k int, t string, d string").withColumn("d", F.col("d").cast("date"))
+    parent = spark.createDataFrame(
+        [(1, "2020-01-01"), (2, "2020-01-01"), (7, None)], "k long, d string").withColumn("d", F.col("d").cast("date"))
+    checks = [
+        Check("child", "k", "unique"), Check("child", "k", "relationships", "warn", "parent", "k"),
+        Check("child", "d", "relationships", "warn", "parent", "d"), Check("parent", "k", "unique"),
+        Check("parent", "d", "unique"), Check("child", "k", "relationships", "warn", "child", "t"),
+    ]
+    report = quality.dq_report({"child": child, "parent": parent}, checks)
+    assert [r.failures for r in report.collect()] == [1, 0, 2, 0, 1, 0]
+    numbers = quality.dq_report({"child": child, "parent": parent}, checks[:2])
+    plan = numbers._jdf.queryExecution().executedPlan().toString()
+    assert "as string" not in plan and "Exchange hashpartitioning(domain" in plan
