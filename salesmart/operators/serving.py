@@ -130,6 +130,7 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
 
     Values are counted per (group, value), then summed into logarithmic bands. Running totals over
     the few bands show which bands hold the middle ranks; only those bands are sorted by value.
+    The counts are shuffled once and serve both steps.
     """
     known = df.filter(F.col(value).isNotNull())
     counted = known.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
@@ -140,7 +141,8 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
         .when(F.col(value) < 0, F.lit(-(2**31)) - size)
         .otherwise(F.lit(-(2**30)))
     )
-    counted = counted.withColumn("band", band)
+    # the join below asks for a band; asked for here as well, both steps read the very same counts
+    counted = counted.withColumn("band", band).filter("band IS NOT NULL")
 
     by_band = W.partitionBy(group).orderBy("band").rowsBetween(W.unboundedPreceding, -1)
     bands = (
@@ -161,7 +163,7 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     in_middle = F.col(group).eqNullSafe(F.col("band_group")) & (F.col("band") == F.col("band_no"))
     inside = W.partitionBy(group, "band").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     ranked = (
-        counted.join(bands, in_middle)
+        counted.join(F.broadcast(bands), in_middle)  # two rows a group at most
         .withColumn(
             "first_rank", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
         )

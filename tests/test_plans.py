@@ -149,3 +149,11 @@ def test_hot_year_and_department_is_written_by_many_tasks(spark, tmp_path):
         assert sum("year_bucket=2023" in f for f in files) > 4
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_median_counts_its_values_once(spark, sf):
+    text = _final_plan(serving.median_price_by_year(catalog.fact(spark, sf)))
+    text = text[: text.index("Initial Plan")]
+    assert text.count("Scan parquet") == 1 and "ReusedExchange" in text
+    text = _final_plan(serving.median_ppsqm_by_department(catalog.fact(spark, sf)))
+    assert text[: text.index("Initial Plan")].count("Scan parquet") == 1
